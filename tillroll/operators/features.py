@@ -152,12 +152,16 @@ def derived_ratios(df: DataFrame) -> DataFrame:
 
 def customer_features(
     clean: DataFrame, as_of=None, c360: DataFrame | None = None,
-    num_partitions: int | None = None,
+    num_partitions: int | None = None, local_limit: int | None = None,
 ) -> DataFrame:
     """customer_360 + 31 behaviour/temporal/spending/affinity/engagement
     features + 6 derived, numeric NULLs filled with 0 (62 columns).
     ``c360`` may be a stored customer_360 table."""
-    base = c360 if c360 is not None else customer_360(clean, as_of=as_of, num_partitions=num_partitions)
+    if c360 is not None:
+        base = c360
+    else:
+        extra = {} if local_limit is None else {"local_limit": local_limit}
+        base = customer_360(clean, as_of=as_of, num_partitions=num_partitions, **extra)
     vk = valid_sales(clean, known_customer=True)
     per_customer = customer_line_features(vk, as_of=as_of).join(
         purchase_gap_features(vk), "CustomerID", "left"

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import safe_div
-from tillroll.operators.ranking import ntile_exact
+from tillroll.operators.ranking import LOCAL_RANK_LIMIT, ntiles
+from tillroll.session import materialize
 from tillroll.operators.silver import (
     _as_of_date,
     customer_profile_columns,
@@ -112,12 +113,24 @@ def rfm_segment(r: Column, f: Column) -> Column:
     return expr.otherwise(RFM_DEFAULT_SEGMENT)
 
 
-def rfm_scores(per_customer: DataFrame, k: int = 5, num_partitions: int | None = None) -> DataFrame:
+def rfm_scores(
+    per_customer: DataFrame, k: int = 5, num_partitions: int | None = None,
+    local_limit: int = LOCAL_RANK_LIMIT,
+) -> DataFrame:
     """r = k+1 - ntile(recency asc), f = ntile(frequency asc),
-    m = ntile(monetary asc); ties broken by CustomerID; rfm text; segment."""
-    df = ntile_exact(per_customer, ["recency_days", "CustomerID"], k, "_r_tile", num_partitions)
-    df = ntile_exact(df, ["frequency", "CustomerID"], k, "f_score", num_partitions)
-    df = ntile_exact(df, ["monetary", "CustomerID"], k, "m_score", num_partitions)
+    m = ntile(monetary asc); ties broken by CustomerID; rfm text; segment.
+    Above ``local_limit`` customers the tiles come from the distributed exact
+    ranking instead of a single-partition window."""
+    df = ntiles(
+        per_customer,
+        [
+            (["recency_days", "CustomerID"], k, "_r_tile"),
+            (["frequency", "CustomerID"], k, "f_score"),
+            (["monetary", "CustomerID"], k, "m_score"),
+        ],
+        num_partitions=num_partitions,
+        local_limit=local_limit,
+    )
     df = df.withColumn("r_score", (F.lit(k + 1) - F.col("_r_tile")).cast("int")).drop("_r_tile")
     return df.withColumn(
         "rfm_score", F.concat_ws("", "r_score", "f_score", "m_score")
@@ -151,21 +164,28 @@ def rfm(clean: DataFrame) -> DataFrame:
     return per.select("CustomerID", "recency_days", "frequency", "monetary")
 
 
-def rfm_table(clean: DataFrame, k: int = 5, num_partitions: int | None = None) -> DataFrame:
+def rfm_table(clean: DataFrame, k: int = 5, num_partitions: int | None = None,
+              local_limit: int = LOCAL_RANK_LIMIT) -> DataFrame:
     """D3-D6 as one table per customer."""
-    scored = rfm_scores(rfm(clean), k=k, num_partitions=num_partitions)
+    per = with_recency(customer_rollup(materialize(customer_country_stats(clean), "customer_country")))
+    scored = rfm_scores(per.select("CustomerID", "recency_days", "frequency", "monetary"),
+                        k=k, num_partitions=num_partitions, local_limit=local_limit)
     return scored.select("CustomerID", *RFM_COLUMNS)
 
 
-def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None) -> DataFrame:
+def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None,
+                 local_limit: int = LOCAL_RANK_LIMIT) -> DataFrame:
     """Silver customers (grain CustomerID, Country) + RFM, behaviour,
     diversity, temporal figures per CustomerID (29 columns).
 
-    Lines are aggregated once; the per-customer table is derived from it and
+    Lines are aggregated once into the per-(CustomerID, Country) table, which
+    is materialised (a table in the checkpoint directory: it is read by the profile side and by
+    the per-customer rollup); the per-customer table is derived from it and
     joined back once (a multi-country customer gets the same figures on each
     of its rows, as in the reference)."""
-    cc = customer_country_stats(clean)
-    per = rfm_scores(with_recency(customer_rollup(cc)), num_partitions=num_partitions)
+    cc = materialize(customer_country_stats(clean), "customer_country")
+    per = rfm_scores(with_recency(customer_rollup(cc)), num_partitions=num_partitions,
+                     local_limit=local_limit)
     per = per.select("CustomerID", *(CUSTOMER_360_COLUMNS[len(PROFILE_COLUMNS):]))
     profile = customer_profile_columns(cc, as_of=as_of)
     return profile.join(per, "CustomerID", "left").select(*CUSTOMER_360_COLUMNS)

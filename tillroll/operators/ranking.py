@@ -12,8 +12,12 @@ Here the total order is produced the way a distributed sort does it:
    that table is bounded by the partition count, so it is broadcast;
 4. global 0-based rank = offset + position.
 
-Both consumers of the ranged data read one shuffle (the exchange is reused), so
-the partition ids agree. Ranks are exact; only balance depends on the sample.
+The ranged, position-tagged table is written once as a table under the
+session's reliable checkpoint directory before it is read twice (counts and rows): range bounds
+come from a sample whose seed depends on the exchange instance, so two
+evaluations could split differently. Reading one materialised copy makes the
+ranks exact whatever the planner reuses, cuts the lineage, and survives a lost
+executor. Only balance depends on the sample.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import materialize
+
 _PID = "_tr_pid"
 _POS = "_tr_pos"
 _OFF = "_tr_off"
@@ -39,6 +45,12 @@ def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
+# Row count up to which one task sorts the whole table (the window form); the
+# same idea as a broadcast threshold: a size checked at run time, with the
+# distributed form beyond it.
+LOCAL_RANK_LIMIT = 1_000_000
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -52,11 +64,12 @@ def global_rank(
     ``total_col`` (optional) receives the total row count."""
     keys = _sort_cols(order)
     pid = F.spark_partition_id()
-    ranged = (
+    ranged = materialize(
         df.repartitionByRange(_partitions(df, num_partitions), *keys)
         .sortWithinPartitions(*keys)
         .withColumn(_PID, pid)
-        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)),
+        "ranked",
     )
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_tr_cnt"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -100,6 +113,26 @@ def ntile_exact(
 
 
 def ntile_window(df: DataFrame, order: Sequence[str | Column], k: int, out_col: str) -> DataFrame:
-    """The single-partition form (reference shape) — kept for equivalence tests
-    and the naive benchmark only."""
+    """The single-partition window form: exact, one task sorts every row. Only
+    for inputs whose size was checked (``ntiles``) and for equivalence tests."""
     return df.withColumn(out_col, F.ntile(k).over(Window.orderBy(*_sort_cols(order))))
+
+
+def ntiles(
+    df: DataFrame,
+    specs: Sequence[tuple[Sequence[str | Column], int, str]],
+    num_partitions: int | None = None,
+    local_limit: int = LOCAL_RANK_LIMIT,
+) -> DataFrame:
+    """Several ``ntile`` columns, each ``(order, k, out_col)``.
+
+    The input is counted once: up to ``local_limit`` rows the window form runs
+    (one small sort, no extra jobs); above it every tile comes from the
+    distributed exact ranking. Both give identical tiles for a unique order."""
+    n = df.count()
+    for order, k, out_col in specs:
+        if n <= local_limit:
+            df = ntile_window(df, order, k, out_col)
+        else:
+            df = ntile_exact(df, order, k, out_col, num_partitions)
+    return df

@@ -13,8 +13,9 @@ settings matter for results, not speed:
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
@@ -51,6 +52,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` once as parquet under the reliable checkpoint directory and
+    return the stored table.
+
+    Used where one intermediate is read by several branches of a plan or must
+    not be recomputed (nondeterministic positions, float sums): every reader
+    sees the same rows, the lineage is cut, and a lost executor costs a re-read,
+    not a recomputation. One write job (``DataFrame.checkpoint`` would run the
+    plan twice: once to count, once to save)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tillroll-{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,
