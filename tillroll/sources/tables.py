@@ -7,9 +7,13 @@ plan Spark can run at any scale:
 
 * every table is read with only the columns the rule needs (pruned scan);
 * ``nation`` is a fixed 25-row dimension, the one side broadcast explicitly;
-* orders are joined to customer/nation first (orders-sized), so lineitem is
-  shuffled once on the order key and once on the part key. AQE turns either
-  join into a broadcast at run time when the measured side is small enough.
+* orders are joined to customer/nation first (orders-sized), then lineitem is
+  joined to it and to part with sort-merge joins (``merge`` hints): lineitem
+  is shuffled once on the order key and once on the part key, which spreads
+  the per-line work over the shuffle partitions even when a scan has a single
+  split. The hints stop the static planner from choosing the fact table as a
+  broadcast build side when a projected scan is under-estimated; neither
+  orders nor part has a size bound that would justify a broadcast.
 """
 
 from __future__ import annotations
@@ -48,8 +52,8 @@ def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
     )
-    joined = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(
-        part, F.col("l_partkey") == part.p_partkey
+    joined = li.join(order_side.hint("merge"), li.l_orderkey == order_side.o_orderkey).join(
+        part.hint("merge"), F.col("l_partkey") == part.p_partkey
     )
     return joined.select(
         F.expr(
