@@ -6,7 +6,8 @@
   customer's time-ordered lines are zeros for repeated days plus the gaps
   between distinct days, so a hot customer is a few thousand day rows, never
   one task sorting all of its lines. One left join onto customer_360.
-* Product features: product_metrics + per-StockCode popularity.
+* Product features: product_metrics + per-StockCode popularity, both rolled
+  up from one stored per-(StockCode, Description) aggregate of the lines.
 * Transaction features: per-customer price/quantity statistics joined back to
   the lines; guest lines (NULL customer, which can never match) bypass the join
   so they cannot form one hot join partition.
@@ -19,7 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tillroll.functions.columns import ratio_or_zero, safe_div
-from tillroll.operators.gold import CUSTOMER_360_COLUMNS, as_of_date, customer_360, product_metrics
+from tillroll.operators.gold import (
+    CUSTOMER_360_COLUMNS,
+    as_of_date,
+    customer_360,
+    materialized_product_stats,
+    product_metrics,
+)
 from tillroll.operators.silver import SILVER_COLUMNS, valid_sales
 
 BEHAVIOR_FE = [
@@ -187,14 +194,28 @@ POPULARITY_FE = [
 ]
 
 
-def product_popularity(valid: DataFrame) -> DataFrame:
-    """Per StockCode over valid lines."""
-    return valid.groupBy("StockCode").agg(
-        F.count("InvoiceNo").alias("purchase_count_fe"),
-        F.count(F.lit(1)).alias("unique_buyers_fe"),
-        F.sum("Quantity").alias("total_quantity_sold_fe"),
-        F.avg("UnitPrice").alias("avg_price_fe"),
-        F.stddev("UnitPrice").alias("price_volatility"),
+def product_popularity(pls: DataFrame) -> DataFrame:
+    """Per StockCode, rolled up from the per-(StockCode, Description)
+    table (``gold.product_line_stats``) instead of re-reading the lines.
+
+    The sample stddev of UnitPrice combines the groups' counts, means and
+    second moments (parallel-variance formula, the merge Spark's own
+    ``stddev`` uses): M2 = sum(M2_g + n_g * (mean_g - mean)^2)."""
+    by_code = Window.partitionBy("StockCode")
+    n_code = F.sum("_n_unit").over(by_code)
+    mean_code = F.sum(F.col("avg_price") * F.col("_n_unit")).over(by_code) / n_code
+    parts = pls.select(
+        "StockCode", "times_purchased", "unique_customers", "total_quantity_sold",
+        "avg_price", "_n_unit", "_m2_unit", mean_code.alias("_mean_code"),
+    )
+    n = F.sum("_n_unit")
+    m2 = F.sum(F.col("_m2_unit") + F.col("_n_unit") * F.pow(F.col("avg_price") - F.col("_mean_code"), 2))
+    return parts.groupBy("StockCode").agg(
+        F.sum("times_purchased").alias("purchase_count_fe"),
+        F.sum("unique_customers").alias("unique_buyers_fe"),
+        F.sum("total_quantity_sold").alias("total_quantity_sold_fe"),
+        F.first("_mean_code").alias("avg_price_fe"),
+        F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias("price_volatility"),
     )
 
 
@@ -213,9 +234,11 @@ def price_tier(col: str = "avg_transaction_value"):
 
 
 def product_features(clean: DataFrame, pm: DataFrame | None = None) -> DataFrame:
-    """product_metrics + popularity + 4 derived (24 columns)."""
-    metrics = pm if pm is not None else product_metrics(clean)
-    joined = metrics.join(product_popularity(valid_sales(clean)), "StockCode", "left")
+    """product_metrics + popularity + 4 derived (24 columns). Without a
+    stored ``pm`` both come from one stored pass over the lines."""
+    pls = materialized_product_stats(clean)
+    metrics = pm if pm is not None else product_metrics(None, pls=pls)
+    joined = metrics.join(product_popularity(pls), "StockCode", "left")
     derived = joined.select(
         "*",
         F.when(F.col("unique_buyers") > 0, F.log(F.col("unique_buyers") + 1))

@@ -208,8 +208,10 @@ def segment_distribution(c360: DataFrame) -> DataFrame:
 
 def product_line_stats(clean: DataFrame) -> DataFrame:
     """One pass over valid lines per (StockCode, Description): silver catalog
-    columns + pieces for the per-StockCode performance rollup."""
+    columns + pieces for the per-StockCode rollups (performance, popularity):
+    counts, sums and the within-group second moment of UnitPrice."""
     v = valid_sales(clean)
+    n_unit = F.count("UnitPrice")
     return v.groupBy("StockCode", "Description").agg(
         F.count("InvoiceNo").alias("times_purchased"),
         F.sum("Quantity").alias("total_quantity_sold"),
@@ -219,9 +221,17 @@ def product_line_stats(clean: DataFrame) -> DataFrame:
         F.sum("total_price").alias("total_revenue"),
         F.count(F.lit(1)).alias("unique_customers"),
         F.count("total_price").alias("_n_price"),
+        n_unit.alias("_n_unit"),
+        (F.var_pop("UnitPrice") * n_unit).alias("_m2_unit"),
     )
 
 
+def materialized_product_stats(clean: DataFrame) -> DataFrame:
+    """``product_line_stats`` stored once (it feeds the catalog columns, the
+    per-StockCode rollups and the quantile aggregate)."""
+    return materialize(product_line_stats(clean), "product_lines")
+
+
 def product_performance(pls: DataFrame) -> DataFrame:
     """D12 per StockCode, rolled up from the (StockCode, Description) table."""
     revenue = F.sum("total_revenue")
@@ -263,11 +273,14 @@ PRODUCT_METRICS_COLUMNS = [
 ]
 
 
-def product_metrics(clean: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def product_metrics(clean: DataFrame | None, accuracy: int = QUANTILE_ACCURACY,
+                    pls: DataFrame | None = None) -> DataFrame:
     """Silver products (grain StockCode, Description) with the two
     revenue/quantity columns replaced by per-StockCode totals (D13), buyers,
-    frequency and the performance band (15 columns)."""
-    pls = product_line_stats(clean)
+    frequency and the performance band (15 columns). Lines are read once
+    (``pls``: a stored ``product_line_stats``)."""
+    if pls is None:
+        pls = materialized_product_stats(clean)
     catalog = product_catalog_columns(pls).drop("total_revenue", "total_quantity_sold")
     perf = product_performance(pls)
     joined = (
