@@ -185,6 +185,18 @@ def _registry() -> dict[str, Query]:
                   f"{O.r('avg(frequency)')} AS avg_frequency FROM c360 GROUP BY customer_segment"),
         ["avg_revenue", "avg_frequency"], "D11")
 
+    q["customer_distinct_counts"] = Query(
+        lambda s, d: G.distinct_counts(clean_df(s, d), "customer"),
+        w("clean", "SELECT CustomerID, count(DISTINCT InvoiceNo) AS distinct_invoices, "
+                   "count(DISTINCT StockCode) AS distinct_products, "
+                   "count(DISTINCT Description) AS distinct_categories FROM vk GROUP BY CustomerID"),
+        [], "Q1 Q2 (customer grain)")
+    q["country_distinct_counts"] = Query(
+        lambda s, d: G.distinct_counts(clean_df(s, d), "country"),
+        w("clean", "SELECT Country, count(DISTINCT CustomerID) AS distinct_customers, "
+                   "count(DISTINCT StockCode) AS distinct_products FROM v GROUP BY Country"),
+        [], "Q1 Q2 (country grain)")
+
     # ---- gold: products
     q["product_metrics"] = Query(pm_df, w("pm", "SELECT * FROM pm"), PM_DOUBLES, "D12-D15")
     q["top_products"] = Query(
