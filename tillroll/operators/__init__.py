@@ -1,0 +1,2 @@
+"""Table operators by layer: bronze, silver, gold (+ ranking), features,
+segmentation, serving."""

@@ -1,0 +1,4 @@
+"""Intentionally empty: the reference pipeline is batch only (no readStream,
+writeStream or watermarks anywhere), so there is no streaming operator to
+rebuild. Every operator is a plain DataFrame function and could run on a
+streaming DataFrame where Spark supports the same operations."""
