@@ -269,7 +269,7 @@ def _registry() -> dict[str, Query]:
     q["segments_summary"] = Query(lambda s, d: SV.segments_summary(segments_df(s, d)), survey="G3")
     q["list_segments"] = Query(lambda s, d: SV.list_segments(segments_df(s, d)), survey="G4")
     q["segment_detail"] = Query(
-        lambda s, d: SV.segment_detail(segments_df(s, d), "Loyal Customers"), survey="G5")
+        lambda s, d: SV.segment_detail(segments_df(s, d), "At Risk"), survey="G5")
     q["customer_segment"] = Query(
         lambda s, d: SV.customer_segment(segments_df(s, d), 1), survey="G6")
     q["revenue_trends"] = Query(
