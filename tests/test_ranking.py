@@ -59,3 +59,17 @@ def test_ntiles_switches_on_size(spark):
     assert sorted(small.collect()) == sorted(large.collect())
     plan = large._jdf.queryExecution().executedPlan().toString()
     assert "ntile" not in plan.lower()
+
+
+def test_hot_value_is_split_across_partitions(spark):
+    from tillroll.operators.ranking import range_tagged
+
+    # one value holds 90 % of the rows; the CustomerID-like tie-break in the
+    # range key must still spread it over the partitions
+    rows = [(i, 1.0 if i % 10 else float(i)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id long, v double")
+    tagged = range_tagged(df, ["v", "id"], num_partitions=8)
+    sizes = [r["count"] for r in tagged.groupBy("_tr_pid").count().collect()]
+    assert sum(sizes) == 20_000
+    assert max(sizes) < 0.3 * 20_000
+    assert len(sizes) >= 6

@@ -51,6 +51,21 @@ def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
 LOCAL_RANK_LIMIT = 1_000_000
 
 
+def range_tagged(df: DataFrame, order: Sequence[str | Column],
+                 num_partitions: int | None = None) -> DataFrame:
+    """Steps 1-2, stored: rows range-partitioned and sorted on ``order`` with
+    their partition id (``_tr_pid``) and position in it (``_tr_pos``)."""
+    keys = _sort_cols(order)
+    pid = F.spark_partition_id()
+    return materialize(
+        df.repartitionByRange(_partitions(df, num_partitions), *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn(_PID, pid)
+        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)),
+        "ranked",
+    )
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -62,15 +77,7 @@ def global_rank(
 
     ``order`` must be unique per row (add a key column as the last entry);
     ``total_col`` (optional) receives the total row count."""
-    keys = _sort_cols(order)
-    pid = F.spark_partition_id()
-    ranged = materialize(
-        df.repartitionByRange(_partitions(df, num_partitions), *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(_PID, pid)
-        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)),
-        "ranked",
-    )
+    ranged = range_tagged(df, order, num_partitions)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_tr_cnt"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
