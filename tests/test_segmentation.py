@@ -69,3 +69,16 @@ def test_sweep_and_serving(spark, features):
     assert SV.customer_segment(seg, -1).count() == 0
     profiles = SG.segment_profiles(segmented).collect()
     assert sum(r.customer_count for r in profiles) == seg.count()
+
+
+def test_silhouette_floor_and_best_of_seeds(spark, features):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    prepared = SG.pin_layout(SG.prepare_features(features))
+    one = SG.train_kmeans(prepared)
+    best = SG.train_kmeans(prepared, extra_seeds=(7, 11, 2024))
+    cost = lambda m: m.stages[-1].summary.trainingCost
+    assert cost(best) <= cost(one)
+    scored = best.transform(prepared)
+    sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id").evaluate(scored)
+    assert sil > 0.2

@@ -114,12 +114,28 @@ def k_sweep(prepared: DataFrame, feature_cols=None, k_values=range(2, 11),
 
 
 def train_kmeans(prepared: DataFrame, feature_cols=None, k: int = DEFAULT_K,
-                 max_iter: int = TRAIN_ITER, seed: int = SEED) -> PipelineModel:
-    """assemble -> standard-scale -> K-Means(k) pipeline."""
+                 max_iter: int = TRAIN_ITER, seed: int = SEED,
+                 extra_seeds: tuple[int, ...] = ()) -> PipelineModel:
+    """assemble -> standard-scale -> K-Means(k) pipeline.
+
+    With ``extra_seeds`` the K-Means stage is also fitted from those seeds on
+    the same scaled rows and the fit with the lowest training cost is kept."""
     cols = list(feature_cols or FEATURE_COLUMNS)
-    kmeans = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
-                    predictionCol="cluster_id")
-    return Pipeline(stages=[_assembler(cols), _scaler(), kmeans]).fit(prepared)
+
+    def kmeans(sd: int) -> KMeans:
+        return KMeans(k=k, seed=sd, maxIter=max_iter, featuresCol="features",
+                      predictionCol="cluster_id")
+
+    if not extra_seeds:
+        return Pipeline(stages=[_assembler(cols), _scaler(), kmeans(seed)]).fit(prepared)
+    prep = Pipeline(stages=[_assembler(cols), _scaler()]).fit(prepared)
+    scaled = prep.transform(prepared).select("features").persist()
+    try:
+        fits = [kmeans(sd).fit(scaled) for sd in (seed, *extra_seeds)]
+    finally:
+        scaled.unpersist()
+    best = min(fits, key=lambda m: m.summary.trainingCost)
+    return PipelineModel(stages=[*prep.stages, best])
 
 
 def assign_clusters(prepared: DataFrame, model: PipelineModel) -> DataFrame:
