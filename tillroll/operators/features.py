@@ -94,18 +94,21 @@ def customer_line_features(valid_known: DataFrame, as_of=None) -> DataFrame:
         F.datediff(asof, F.max(ts)).alias("recency_days_fe"),
         age.alias("customer_age_days_fe"),
     )
-    return agg.withColumn(
-        "spending_trend_30_vs_90",
-        ratio_or_zero("spending_last_30_days", "spending_last_90_days"),
-    ).withColumn(
-        "engagement_score_fe",
-        F.when(
-            F.col("customer_age_days_fe") > 0,
-            F.col("total_invoices_fe") / (F.col("customer_age_days_fe") / 30),
-        ).otherwise(F.lit(0.0)),
+    return agg.withColumn("spending_trend_30_vs_90", spending_trend()).withColumn(
+        "engagement_score_fe", engagement_score()
     )
 
 
+def spending_trend(last30: str = "spending_last_30_days", last90: str = "spending_last_90_days"):
+    """E5: 30-day / 90-day spend, 0 when the 90-day spend is not positive."""
+    return ratio_or_zero(last30, last90)
+
+
+def engagement_score(invoices: str = "total_invoices_fe", age: str = "customer_age_days_fe"):
+    """Lines per 30 days of customer age, 0 for a zero age."""
+    return F.when(F.col(age) > 0, F.col(invoices) / (F.col(age) / 30)).otherwise(F.lit(0.0))
+
+
 def purchase_gap_features(valid_known: DataFrame) -> DataFrame:
     """E2+E3: avg / stddev / min / max of the day gaps between a customer's
     consecutive lines (ordered by time), computed from one row per
@@ -241,15 +244,29 @@ def product_features(clean: DataFrame, pm: DataFrame | None = None) -> DataFrame
     joined = metrics.join(product_popularity(pls), "StockCode", "left")
     derived = joined.select(
         "*",
-        F.when(F.col("unique_buyers") > 0, F.log(F.col("unique_buyers") + 1))
-        .otherwise(F.lit(0.0)).alias("popularity_score"),
+        popularity_score().alias("popularity_score"),
         price_tier().alias("price_tier"),
-        ratio_or_zero("total_revenue", "purchase_frequency").alias("velocity_score"),
-        ratio_or_zero("unique_buyers", "purchase_frequency").alias("customer_concentration"),
+        velocity_score().alias("velocity_score"),
+        customer_concentration().alias("customer_concentration"),
     )
     return fill_numeric_zero(derived)
 
 
+def popularity_score(buyers: str = "unique_buyers"):
+    """ln(buyers + 1), 0 when there are none."""
+    return F.when(F.col(buyers) > 0, F.log(F.col(buyers) + 1)).otherwise(F.lit(0.0))
+
+
+def velocity_score(revenue: str = "total_revenue", frequency: str = "purchase_frequency"):
+    """Revenue per purchase, 0 without purchases."""
+    return ratio_or_zero(revenue, frequency)
+
+
+def customer_concentration(buyers: str = "unique_buyers", frequency: str = "purchase_frequency"):
+    """Buyers per purchase, 0 without purchases."""
+    return ratio_or_zero(buyers, frequency)
+
+
 def product_feature_sample(pf: DataFrame, n: int = 5) -> DataFrame:
     """6 columns by revenue, top ``n``."""
     return (
@@ -324,11 +341,24 @@ def transaction_features(clean: DataFrame) -> DataFrame:
         "*", *[F.lit(None).cast("double").alias(c) for c in CUSTOMER_STATS]
     )
     lines = known.unionByName(guests)
-    hour = F.col("hour")
+    return hour_flags(zscores(lines)).select(*TRANSACTION_FEATURE_COLUMNS)
+
+
+def zscores(lines: DataFrame) -> DataFrame:
+    """(x - mean) / std for line amount and quantity, 0 when the
+    customer's std is NULL or 0."""
     return lines.select(
-        *TRANSACTION_FEATURE_COLUMNS[: -4],
+        "*",
         _zscore("total_price", "customer_avg_price", "customer_std_price").alias("price_zscore"),
         _zscore("Quantity", "customer_avg_quantity", "customer_std_quantity").alias("quantity_zscore"),
+    )
+
+
+def hour_flags(lines: DataFrame) -> DataFrame:
+    """Business hours 9-17 and night 22-6 as 0/1."""
+    hour = F.col("hour")
+    return lines.select(
+        "*",
         F.when((hour >= 9) & (hour <= 17), 1).otherwise(0).alias("is_business_hours"),
         F.when((hour >= 22) | (hour <= 6), 1).otherwise(0).alias("is_night_purchase"),
     )

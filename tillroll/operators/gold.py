@@ -312,14 +312,23 @@ def product_metrics(clean: DataFrame | None, accuracy: int = QUANTILE_ACCURACY,
         pls = materialized_product_stats(clean)
     catalog = product_catalog_columns(pls).drop("total_revenue", "total_quantity_sold")
     perf = product_performance(pls)
-    joined = (
-        catalog.join(perf, "StockCode", "left")
-        .withColumnRenamed("total_revenue_gold", "total_revenue")
-        .withColumnRenamed("total_quantity_gold", "total_quantity_sold")
+    joined = replace_columns_join(
+        catalog, perf, "StockCode",
+        {"total_revenue_gold": "total_revenue", "total_quantity_gold": "total_quantity_sold"},
     )
     return performance_category(joined, accuracy=accuracy).select(*PRODUCT_METRICS_COLUMNS)
 
 
+def replace_columns_join(left: DataFrame, right: DataFrame, key: str,
+                         renames: dict[str, str]) -> DataFrame:
+    """Drop the replaced columns from ``left``, left-join ``right`` on
+    ``key``, rename ``right``'s columns to the replaced names."""
+    out = left.drop(*renames.values()).join(right, key, "left")
+    for src, dst in renames.items():
+        out = out.withColumnRenamed(src, dst)
+    return out
+
+
 def top_products(pm: DataFrame, n: int = 10) -> DataFrame:
     """6-column projection by revenue, top ``n``."""
     return (
@@ -352,24 +361,37 @@ def daily_sales(clean: DataFrame) -> DataFrame:
     )
 
 
-def daily_aggregates(clean: DataFrame) -> DataFrame:
-    """Calendar columns (day_of_week = week-start timestamp) and
-    ROWS-frame moving averages per Country. The windows run on the daily
-    table, so a country holds one row per day — no skewed sort of lines."""
-    d = daily_sales(clean)
-    by_country = Window.partitionBy("Country").orderBy("date")
-    w7 = by_country.rowsBetween(-6, 0)
-    w30 = by_country.rowsBetween(-29, 0)
-    return d.select(
+def daily_calendar(daily: DataFrame) -> DataFrame:
+    """Year, month, quarter and day_of_week (the week-start timestamp,
+    as in the reference)."""
+    return daily.select(
         "*",
         F.year("date").alias("year"),
         F.month("date").alias("month"),
         F.quarter("date").alias("quarter"),
         F.date_trunc("week", F.col("date")).alias("day_of_week"),
+    )
+
+
+def moving_averages(daily: DataFrame) -> DataFrame:
+    """Per Country by date, mean revenue over the last 7 and 30 rows and
+    mean transactions over the last 7 rows (ROWS frames: missing dates are not
+    filled). The windows run on the daily table, so a country holds one row
+    per day — no skewed sort of lines."""
+    by_country = Window.partitionBy("Country").orderBy("date")
+    w7 = by_country.rowsBetween(-6, 0)
+    w30 = by_country.rowsBetween(-29, 0)
+    return daily.select(
+        "*",
         F.avg("total_revenue").over(w7).alias("revenue_ma_7d"),
         F.avg("total_revenue").over(w30).alias("revenue_ma_30d"),
         F.avg("total_transactions").over(w7).alias("transactions_ma_7d"),
-    ).select(*DAILY_COLUMNS)
+    )
+
+
+def daily_aggregates(clean: DataFrame) -> DataFrame:
+    """Daily sales (D17) + calendar (D18) + moving averages (D19), 15 columns."""
+    return moving_averages(daily_calendar(daily_sales(clean))).select(*DAILY_COLUMNS)
 
 
 def recent_days(daily: DataFrame, n: int = 10) -> DataFrame:
