@@ -5,9 +5,11 @@ settings matter for results, not speed:
 
 * ``spark.sql.session.timeZone`` is pinned to UTC so that parsing invoice text
   and truncating to dates give the same instants on every cluster.
-* a reliable checkpoint directory (``spark.checkpoint.dir``) for the places that
-  cut lineage (K-Means input). It is read from the session; only a local-mode
-  session without one gets a scratch directory of its own.
+* a reliable checkpoint directory (``spark.checkpoint.dir``) under which
+  ``materialize`` stores intermediates that several branches read or that
+  must not be recomputed (per-customer-country aggregate, product aggregate,
+  range-ranked tables, K-Means input). It is read from the session; only a
+  local-mode session without one gets a scratch directory of its own.
 """
 
 from __future__ import annotations
