@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from conftest import clean_of, line, raw_df
 from tillroll.functions import columns as C
 from tillroll.operators import bronze as B
@@ -122,4 +120,19 @@ def test_empty_input_everywhere(spark):
     ov = SV.customer_overview(G.customer_360(clean)).collect()[0]
     assert (ov.total_customers, ov.total_revenue) == (0, 0.0)
     assert S.silver_quality(clean).collect()[0].total_records == 0
-    assert F is not None
+
+
+def test_ingest_transactions_from_csv(spark):
+    import os
+    import tempfile
+
+    from tillroll.sources.io import read_table
+
+    tmp = tempfile.mkdtemp(prefix="tillroll-ingest-")
+    src = os.path.join(tmp, "raw")
+    raw_df(spark, [line(), line(inv="2", cust=None)]).write.option("header", "true").csv(src)
+    B.ingest_transactions(spark, src, os.path.join(tmp, "lake"), fmt="csv",
+                          ingested_at="2011-01-01 00:00:00")
+    bronze = read_table(spark, os.path.join(tmp, "lake"), "bronze", "transactions")
+    assert bronze.columns == S.BRONZE_COLUMNS
+    assert bronze.count() == 2

@@ -13,11 +13,7 @@ from tillroll.sources.schema import BRONZE_VERSION, HASH_KEYS, RAW_COLUMNS, SOUR
 
 
 def _ts_literal(value: _dt.datetime | str | None) -> Column:
-    if value is None:
-        return F.current_timestamp()
-    if isinstance(value, str):
-        return F.lit(value).cast("timestamp")
-    return F.lit(value).cast("timestamp")
+    return F.current_timestamp() if value is None else F.lit(value).cast("timestamp")
 
 
 def add_lineage(

@@ -11,8 +11,6 @@ lost executor); the layout is then pinned on the stored rows.
 
 from __future__ import annotations
 
-import datetime as _dt
-import json
 import os
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -230,14 +228,3 @@ def run_segmentation(cf: DataFrame, k: int = DEFAULT_K, sweep=range(2, 11), feat
         save_model(model, model_path, k, feature_cols)
     return customer_segments(segmented), segment_profiles(segmented), costs
 
-
-def metadata_json(k: int, feature_cols=None) -> str:
-    """The metadata as JSON text (for callers that want the file form)."""
-    return json.dumps(
-        {
-            "n_clusters": int(k),
-            "features": list(feature_cols or FEATURE_COLUMNS),
-            "training_date": _dt.datetime.now(_dt.timezone.utc).isoformat(),
-        },
-        indent=2,
-    )
