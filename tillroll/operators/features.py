@@ -9,8 +9,8 @@
 * Product features: product_metrics + per-StockCode popularity, both rolled
   up from one stored per-(StockCode, Description) aggregate of the lines.
 * Transaction features: per-customer price/quantity statistics joined back to
-  the lines; guest lines (NULL customer, which can never match) bypass the join
-  so they cannot form one hot join partition.
+  the lines in one scan; guest lines (NULL customer, which can never match)
+  are salted over many join keys so they cannot form one hot join partition.
 """
 
 from __future__ import annotations
@@ -329,18 +329,30 @@ def _zscore(x: str, mean: str, std: str):
     return F.when(s > 0, (F.col(x) - F.col(mean)) / s).otherwise(F.lit(0.0))
 
 
+# Guest lines (NULL customer) are salted over this many join keys.
+GUEST_SALTS = 1024
+
+
+def guest_salted_key(customer: str = "CustomerID", spread_by: str = "record_hash"):
+    """Join key for lines: the customer id, or for a guest line one of
+    ``GUEST_SALTS`` keys below the int range — never equal to a real id, so a
+    guest never matches, and guests spread over partitions instead of all
+    hashing to the one partition of the NULL key."""
+    salt = F.lit(-(1 << 32)) - F.pmod(F.xxhash64(spread_by), F.lit(GUEST_SALTS))
+    return F.coalesce(F.col(customer).cast("long"), salt)
+
+
 def transaction_features(clean: DataFrame) -> DataFrame:
     """Lines + customer stats, z-scores and hour flags (31 columns).
 
-    Known-customer lines take a left join to the per-customer stats (AQE picks
-    broadcast or splits a skewed customer); guest lines get NULL stats without
-    entering the join."""
-    stats = customer_price_stats(clean)
-    known = clean.where(F.col("CustomerID").isNotNull()).join(stats, "CustomerID", "left")
-    guests = clean.where(F.col("CustomerID").isNull()).select(
-        "*", *[F.lit(None).cast("double").alias(c) for c in CUSTOMER_STATS]
+    One scan of the lines and one left join to the per-customer stats on a
+    guest-salted key: AQE broadcasts the stats when it measures them small,
+    otherwise a shuffle join whose skewed partitions (a hot customer) AQE
+    splits; guest lines can never match and are spread by the salt."""
+    stats = customer_price_stats(clean).select(
+        F.col("CustomerID").cast("long").alias("_tr_key"), *CUSTOMER_STATS
     )
-    lines = known.unionByName(guests)
+    lines = clean.withColumn("_tr_key", guest_salted_key()).join(stats, "_tr_key", "left")
     return hour_flags(zscores(lines)).select(*TRANSACTION_FEATURE_COLUMNS)
 
 
