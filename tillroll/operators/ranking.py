@@ -13,9 +13,9 @@ Here the total order is produced the way a distributed sort does it:
 4. global 0-based rank = offset + position.
 
 The ranged, position-tagged table is written once as a table under the
-session's reliable checkpoint directory before it is read twice (counts and rows): range bounds
-come from a sample whose seed depends on the exchange instance, so two
-evaluations could split differently. Reading one materialised copy makes the
+session's reliable checkpoint directory before it is read twice (counts and
+rows): range bounds come from a sample whose seed depends on the exchange
+instance, so two evaluations could split differently. Reading one materialised copy makes the
 ranks exact whatever the planner reuses, cuts the lineage, and survives a lost
 executor. Only balance depends on the sample.
 """
@@ -49,6 +49,8 @@ def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
 # same idea as a broadcast threshold: a size checked at run time, with the
 # distributed form beyond it.
 LOCAL_RANK_LIMIT = 1_000_000
+# Rows per range partition the distributed form aims for (one task's sort).
+ROWS_PER_RANGE = 1_000_000
 
 
 def range_tagged(df: DataFrame, order: Sequence[str | Column],
@@ -137,6 +139,9 @@ def ntiles(
     (one small sort, no extra jobs); above it every tile comes from the
     distributed exact ranking. Both give identical tiles for a unique order."""
     n = df.count()
+    if n > local_limit and not num_partitions:
+        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = max(shuffle, -(-n // ROWS_PER_RANGE))
     for order, k, out_col in specs:
         if n <= local_limit:
             df = ntile_window(df, order, k, out_col)
