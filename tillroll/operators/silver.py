@@ -107,8 +107,11 @@ def dedupe_latest(
 def clean_transactions(
     bronze: DataFrame, keys: Sequence[str] = ("record_hash",)
 ) -> DataFrame:
-    """Bronze (12 columns) -> transactions_clean (23 columns)."""
-    return dedupe_latest(enrich(parse_and_validate(bronze)), keys=keys).select(*SILVER_COLUMNS)
+    """Bronze (12 columns) -> transactions_clean (23 columns).
+
+    The derived columns are per-row functions, so they are computed after the
+    de-duplication: the shuffle and sort carry 13 columns instead of 23."""
+    return enrich(dedupe_latest(parse_and_validate(bronze), keys=keys)).select(*SILVER_COLUMNS)
 
 
 # ---------------------------------------------------------------- dimensions
