@@ -66,14 +66,12 @@ def test_zscores_guests_and_single_lines(spark):
     assert len(FE.TRANSACTION_FEATURE_COLUMNS) == 31
 
 
-def test_baskets_long_and_list_forms(spark):
+def test_baskets_long_form(spark):
     rows = [line(inv="1", code="B"), line(inv="1", code="A", qty=2),
             line(inv="1", code="B", date="12/1/2010 9:00"), line(inv="2", code="C")]
     clean = clean_of(spark, rows)
     items = sorted(tuple(r) for r in FE.basket_items(clean).collect())
     assert items == [("1", "A", 1), ("1", "B", 2), ("2", "C", 1)]
-    lists = {r.InvoiceNo: r.products_in_basket for r in FE.basket_lists(clean).collect()}
-    assert lists == {"1": ["A", "B", "B"], "2": ["C"]}
 
 
 def test_product_features_schema(spark):

@@ -278,30 +278,15 @@ def product_feature_sample(pf: DataFrame, n: int = 5) -> DataFrame:
 
 
 def basket_items(clean: DataFrame) -> DataFrame:
-    """E15 (long form): the items bought together on each invoice — one row per
-    (InvoiceNo, StockCode) with how many lines carried it. Distributed at any
-    basket size (no per-invoice list is materialised)."""
+    """The items bought together on each invoice — one row per
+    (InvoiceNo, StockCode) with how many lines carried it (the reference's
+    per-invoice list, in long form). Distributed at any basket size: no
+    invoice is ever collected into one row or one task."""
     return valid_sales(clean).groupBy("InvoiceNo", "StockCode").agg(
         F.count(F.lit(1)).alias("lines")
     )
 
 
-def basket_lists(clean: DataFrame) -> DataFrame:
-    """E15 (list form): per InvoiceNo the sorted list of its stock codes (with
-    repeats). Built from the long form; one row holds one whole basket, so use
-    it where baskets are of bounded size."""
-    items = basket_items(clean)
-    per = items.groupBy("InvoiceNo").agg(
-        F.sort_array(F.collect_list(F.struct("StockCode", "lines"))).alias("_items")
-    )
-    return per.select(
-        "InvoiceNo",
-        F.flatten(
-            F.transform("_items", lambda s: F.array_repeat(s["StockCode"], s["lines"].cast("int")))
-        ).alias("products_in_basket"),
-    )
-
-
 # ----------------------------------------------------------- transactions
 
 CUSTOMER_STATS = [
