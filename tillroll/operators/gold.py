@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import safe_div
 from tillroll.operators.ranking import LOCAL_RANK_LIMIT, ntiles
-from tillroll.session import materialize
+from tillroll.session import stage
 from tillroll.operators.silver import (
     _as_of_date,
     customer_profile_columns,
@@ -115,7 +115,7 @@ def rfm_segment(r: Column, f: Column) -> Column:
 
 def rfm_scores(
     per_customer: DataFrame, k: int = 5, num_partitions: int | None = None,
-    local_limit: int = LOCAL_RANK_LIMIT,
+    local_limit: int = LOCAL_RANK_LIMIT, row_bound: int | None = None,
 ) -> DataFrame:
     """r = k+1 - ntile(recency asc), f = ntile(frequency asc),
     m = ntile(monetary asc); ties broken by CustomerID; rfm text; segment.
@@ -130,6 +130,7 @@ def rfm_scores(
         ],
         num_partitions=num_partitions,
         local_limit=local_limit,
+        row_bound=row_bound,
     )
     df = df.withColumn("r_score", (F.lit(k + 1) - F.col("_r_tile")).cast("int")).drop("_r_tile")
     return df.withColumn(
@@ -167,9 +168,11 @@ def rfm(clean: DataFrame) -> DataFrame:
 def rfm_table(clean: DataFrame, k: int = 5, num_partitions: int | None = None,
               local_limit: int = LOCAL_RANK_LIMIT) -> DataFrame:
     """D3-D6 as one table per customer."""
-    per = with_recency(customer_rollup(materialize(customer_country_stats(clean), "customer_country")))
+    cc, n_cc = stage(customer_country_stats(clean), "customer_country")
+    per = with_recency(customer_rollup(cc))
     scored = rfm_scores(per.select("CustomerID", "recency_days", "frequency", "monetary"),
-                        k=k, num_partitions=num_partitions, local_limit=local_limit)
+                        k=k, num_partitions=num_partitions, local_limit=local_limit,
+                        row_bound=n_cc)
     return scored.select("CustomerID", *RFM_COLUMNS)
 
 
@@ -179,13 +182,15 @@ def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None
     diversity, temporal figures per CustomerID (29 columns).
 
     Lines are aggregated once into the per-(CustomerID, Country) table, which
-    is materialised (a table in the checkpoint directory: it is read by the profile side and by
-    the per-customer rollup); the per-customer table is derived from it and
+    is computed once (``session.stage``: cached and counted, and stored under
+    the checkpoint directory when large — it is read by the profile side and
+    by the per-customer rollup; its row count bounds the customer count for
+    the ntile size check); the per-customer table is derived from it and
     joined back once (a multi-country customer gets the same figures on each
     of its rows, as in the reference)."""
-    cc = materialize(customer_country_stats(clean), "customer_country")
+    cc, n_cc = stage(customer_country_stats(clean), "customer_country")
     per = rfm_scores(with_recency(customer_rollup(cc)), num_partitions=num_partitions,
-                     local_limit=local_limit)
+                     local_limit=local_limit, row_bound=n_cc)
     per = per.select("CustomerID", *(CUSTOMER_360_COLUMNS[len(PROFILE_COLUMNS):]))
     profile = customer_profile_columns(cc, as_of=as_of)
     return profile.join(per, "CustomerID", "left").select(*CUSTOMER_360_COLUMNS)
@@ -256,9 +261,10 @@ def product_line_stats(clean: DataFrame) -> DataFrame:
 
 
 def materialized_product_stats(clean: DataFrame) -> DataFrame:
-    """``product_line_stats`` stored once (it feeds the catalog columns, the
-    per-StockCode rollups and the quantile aggregate)."""
-    return materialize(product_line_stats(clean), "product_lines")
+    """``product_line_stats`` computed once (it feeds the catalog columns, the
+    per-StockCode rollups and the quantile aggregate): cached, and stored
+    under the checkpoint directory when large (``session.stage``)."""
+    return stage(product_line_stats(clean), "product_lines")[0]
 
 
 def product_performance(pls: DataFrame) -> DataFrame:
