@@ -132,16 +132,13 @@ def ntiles(
     specs: Sequence[tuple[Sequence[str | Column], int, str]],
     num_partitions: int | None = None,
     local_limit: int = LOCAL_RANK_LIMIT,
-    row_bound: int | None = None,
 ) -> DataFrame:
     """Several ``ntile`` columns, each ``(order, k, out_col)``.
 
     The input is counted once: up to ``local_limit`` rows the window form runs
     (one small sort, no extra jobs); above it every tile comes from the
-    distributed exact ranking. Both give identical tiles for a unique order.
-    ``row_bound`` (a known upper bound of the row count) skips the count when
-    it is already under the limit."""
-    n = row_bound if row_bound is not None and row_bound <= local_limit else df.count()
+    distributed exact ranking. Both give identical tiles for a unique order."""
+    n = df.count()
     if n > local_limit and not num_partitions:
         shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         num_partitions = max(shuffle, -(-n // ROWS_PER_RANGE))

@@ -70,30 +70,6 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Row bound under which ``stage`` keeps an intermediate cached instead of
-# writing it: small enough that recomputing it after a lost executor is cheap.
-STAGE_CACHE_ROWS = 1_000_000
-
-
-def stage(df: DataFrame, label: str = "table", cache_rows: int = STAGE_CACHE_ROWS):
-    """Compute ``df`` once and return ``(table, row_count)``.
-
-    The rows are cached and counted in one job; above ``cache_rows`` they are
-    also written under the checkpoint directory (``materialize``) and the
-    stored copy is returned, cutting the lineage where recomputation would be
-    expensive. Below the bound the cached copy is returned (a lost executor
-    recomputes it from lineage, which is cheap at that size)."""
-    from pyspark import StorageLevel
-
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    if n <= cache_rows:
-        return cached, n
-    stored = materialize(cached, label)
-    cached.unpersist()
-    return stored, n
-
-
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,
