@@ -82,3 +82,18 @@ def test_silhouette_floor_and_best_of_seeds(spark, features):
     scored = best.transform(prepared)
     sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id").evaluate(scored)
     assert sil > 0.2
+
+
+def test_labels_do_not_depend_on_shuffle_setting(spark, features):
+    def labels():
+        _, segmented = SG.segment(features)
+        return sorted((r.CustomerID, r.Country, r.cluster_id)
+                      for r in segmented.select("CustomerID", "Country", "cluster_id").collect())
+
+    base = labels()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        assert labels() == base
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
