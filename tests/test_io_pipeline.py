@@ -58,3 +58,18 @@ def test_pipeline_end_to_end(spark):
     # a later run may skip ingestion and redo one step from stored tables
     again = run_pipeline(spark, base, steps=["gold"], skip_bronze=True, as_of="2001-08-01")
     assert list(again) == ["gold"]
+
+
+def test_materialize_writes_under_session_checkpoint_dir(spark):
+    from tillroll.session import ensure_checkpoint_dir, materialize
+
+    ckpt = ensure_checkpoint_dir(spark)
+    assert ckpt == spark.sparkContext.getCheckpointDir()
+    df = spark.range(10).withColumnRenamed("id", "x")
+    stored = materialize(df, "unit")
+    from urllib.parse import urlparse
+
+    root = urlparse(ckpt).path.rstrip("/")
+    files = [urlparse(f).path for f in stored.inputFiles()]
+    assert files and all(f.startswith(root + "/") for f in files)
+    assert sorted(r.x for r in stored.collect()) == list(range(10))
