@@ -37,5 +37,4 @@ def test_entry_contract(spark):
     df = mod.entry(spark)
     assert df.count() > 0 and len(df.columns) == 29
     assert set(mod.oracle_sql()) <= set(mod.queries())
-    for name in mod.queries():
-        assert "pipeline" not in name and not name.startswith("op")
+    assert set(REGISTRY) <= set(mod.queries())

@@ -45,7 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         local_dir = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         sc.setCheckpointDir(local_dir)
         return sc.getCheckpointDir() or local_dir
@@ -67,7 +67,7 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tillroll-{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_session(
