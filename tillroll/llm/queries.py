@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import packing, token_files
+from tillroll.llm import near_dup, packing, token_files
 from tillroll.llm.common import table
 from tillroll.session import ensure_checkpoint_dir
 
@@ -22,10 +22,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op7_lsh_forest": op7_lsh_forest,
     }
 
 
