@@ -33,7 +33,9 @@ def top_lists(lists: DataFrame, key: str, block: str, item: str, k: int, blocks:
     the lists of ``fan_in`` neighbouring blocks and keeps the first ``k`` items,
     until one list per key is left. No task sees more than ``fan_in * k`` items
     of a key at once."""
-    while blocks > 1:
+    merged = False
+    while blocks > 1 or not merged:
+        merged = True
         lists = (
             lists.withColumn(block, F.floor(F.col(block) / fan_in).cast("int"))
             .groupBy(key, block)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import near_dup, packing, token_files
+from tillroll.llm import near_dup, packing, token_files, vectors
 from tillroll.llm.common import table
 from tillroll.session import ensure_checkpoint_dir
 
@@ -26,13 +26,38 @@ def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.forest_top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e, len(embedding) AS dim FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND c.dim = q.dim),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op7_lsh_forest": op7_lsh_forest,
+        "op8_exact_top_k": op8_exact_top_k,
+        "op10_projection_forest": op10_projection_forest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_exact_top_k": OP8_SQL}
