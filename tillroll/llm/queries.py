@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import near_dup, packing, token_files, vectors
+from tillroll.llm import near_dup, packing, sharding, token_files, toxicity, vectors
 from tillroll.llm.common import table
 from tillroll.session import ensure_checkpoint_dir
 
@@ -22,6 +23,17 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.hilbert_shards(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severities(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -53,8 +65,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_hilbert_shards": op3_hilbert_shards,
         "op7_lsh_forest": op7_lsh_forest,
         "op8_exact_top_k": op8_exact_top_k,
+        "op9_ordinal_toxicity": op9_ordinal_toxicity,
         "op10_projection_forest": op10_projection_forest,
     }
 
