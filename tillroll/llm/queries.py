@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import near_dup, packing, sharding, token_files, toxicity, vectors
+from tillroll.llm import licenses, near_dup, packing, sharding, token_files, toxicity, vectors
 from tillroll.llm.common import table
 from tillroll.session import ensure_checkpoint_dir
 
@@ -29,6 +29,12 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+        F.size("detections").alias("n_detections"))
+
+
 def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.severities(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -66,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_hilbert_shards": op3_hilbert_shards,
+        "op4_license_rules": op4_license_rules,
         "op7_lsh_forest": op7_lsh_forest,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_ordinal_toxicity": op9_ordinal_toxicity,
