@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import licenses, near_dup, packing, sharding, token_files, toxicity, vectors
+from tillroll.llm import chunks, licenses, near_dup, packing, pii, sharding, token_files, toxicity, vectors
 from tillroll.llm.common import table
 from tillroll.session import ensure_checkpoint_dir
 
@@ -35,6 +35,15 @@ def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("detections").alias("n_detections"))
 
 
+def op5_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op6_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digests(pii.find(docs, pii.train(docs)))
+
+
 def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.severities(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -73,6 +82,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_hilbert_shards": op3_hilbert_shards,
         "op4_license_rules": op4_license_rules,
+        "op5_chunked_bpe": op5_chunked_bpe,
+        "op6_skip_chain_pii": op6_skip_chain_pii,
         "op7_lsh_forest": op7_lsh_forest,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_ordinal_toxicity": op9_ordinal_toxicity,
