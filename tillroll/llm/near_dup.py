@@ -5,19 +5,20 @@
    on (the class keeps its smallest ``doc_id``).
 2. The forest: ``trees`` sorted orders, tree t reading the signature from
    position ``t * step`` on. One range exchange sorts all trees; a hot region is
-   split like any other. Neighbours in an order are candidates as long as their
-   common prefix is at least ``min_depth`` values, up to ``window`` places on:
-   in a sparse region that is depth ``min_depth``, in a crowded one only the
-   rows with the longest common prefixes come that near, so depth follows the
-   region, and candidates stay in proportion to the documents.
+   split like any other. Neighbours in an order are candidates if their common
+   prefix has ``min_depth`` values, and one more for each doubling of the places
+   between them (up to ``window``): a sparse region is searched at
+   ``min_depth``, a crowded one deeper, and candidates stay in proportion to the
+   documents. The rest of their ``depth`` values must agree about as often as
+   linked texts do.
 3. Candidates whose signatures agree far less than the threshold asks for go;
    the others are confirmed on their full shingle sets.
 4. Links join classes to components; a document is kept if it is the smallest
    of its component.
 
-A link at the threshold lies below ``min_depth`` in all trees once in three
-million pairs, and below the signature filter about once in a hundred thousand;
-crowds of mutually similar texts are tied together by many links each.
+A lone pair at the threshold shares ``min_depth`` values in some tree with odds
+of one miss in 10^12, and falls below the signature filter about once in a
+hundred thousand; a text in a crowd has many links, of which one is enough.
 
 Edge cases: null and empty texts have an empty set and no link; classes whose
 smallest ids are equal (repeated ids with different texts) count as one node; a
@@ -121,7 +122,7 @@ def signatures(docs: DataFrame, width: int = 5, hashes: int = 128) -> DataFrame:
     return texts(docs).mapInArrow(run, _SETS)
 
 
-def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, min_depth: int, window: int) -> DataFrame:
+def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, min_depth: int, window: int, least: float) -> DataFrame:
     """Neighbours (a, b) in the forest's orders over (id, signature)."""
     step = hashes // trees
     double = F.concat("signature", "signature")
@@ -131,13 +132,16 @@ def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, min_dept
     keys = ["tree", "prefix", "id"]
     ordered = orders.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
+    deepest = min(depth, min_depth + (window - 1).bit_length())
+    agree = int(least * depth)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, near = np.empty(0, np.int64), np.empty((0, min_depth + 1), np.uint32)
+        ids, near = np.empty(0, np.int64), np.empty((0, depth + 1), np.uint32)
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            prefix = np.frombuffer(b"".join(batch["prefix"].to_pylist()), ">u4").reshape(n, depth)[:, :min_depth]
+            prefix = np.frombuffer(b"".join(batch["prefix"].to_pylist()), ">u4").reshape(n, depth)
             tree = batch["tree"].to_numpy().astype(np.uint32)[:, None]
             old = len(ids)
             ids = np.concatenate([ids, batch["id"].to_numpy()])
@@ -145,7 +149,9 @@ def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, min_dept
             a, b = [], []
             for o in range(1, window + 1):
                 lo = max(0, old - o)
-                same = np.flatnonzero((near[lo + o:] == near[lo:len(ids) - o]).all(axis=1)) + lo
+                level = 1 + min(deepest, min_depth + (o - 1).bit_length())
+                same = np.flatnonzero((near[lo + o:, :level] == near[lo:len(ids) - o, :level]).all(axis=1)) + lo
+                same = same[(near[same, 1:] == near[same + o, 1:]).sum(axis=1) >= agree]
                 a.append(ids[same]), b.append(ids[same + o])
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -196,7 +202,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                         ["doc_id", "shingles"])
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    full = materialize(texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"), "sets")
+    full = materialize(texts(docs).join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,7 +224,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, hashes: int = 128, trees: int = 16,
+def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, hashes: int = 160, trees: int = 32,
                     depth: int = 16, min_depth: int = 3, window: int = 8) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``
     and ``kept``. Texts are linked when their shingle sets share ``percent`` of
@@ -229,8 +235,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, hashes:
         .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")),
         "classes")
     nodes = classes.filter("id IS NOT NULL")
-    pairs = candidates(nodes, hashes, trees, depth, min_depth, window)
-    pairs = materialize(_agreeing(pairs, nodes, percent / 100 - 0.15), "candidates")
+    least = percent / 100 - 0.15
+    pairs = candidates(nodes, hashes, trees, depth, min_depth, window, least)
+    pairs = materialize(_agreeing(pairs, nodes, least), "candidates")
     links = confirmed(pairs, docs, width, percent)
     labels = components(links)
     label = labels.select(F.col("node").alias("id"), "component")
