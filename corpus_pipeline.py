@@ -1 +1,62 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: toxicity, near duplicates, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept.
+``run`` writes every stage's result as Parquet below spark.checkpoint.dir and
+reads it again as the next one's documents. The first three return the columns
+of ``documents``; the last returns packed pieces (see ``tillroll.llm.packing``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.llm import near_dup, packing, pii, toxicity
+from tillroll.llm.common import materialize, table
+
+#: near duplicates share at least this many percent of their five-word shingles
+NEAR_PERCENT = 80
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model, fitted on ``labels``, rejects go."""
+    return toxicity.reject_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the smallest ``doc_id`` stays; texts
+    without words are no duplicates of anything. Rows that repeat a kept id and
+    its text stay as one; rows without an id cannot be told apart and all stay."""
+    found = near_dup.near_duplicates(docs, percent=NEAR_PERCENT)
+    kept = found.filter("kept").select("doc_id").distinct().hint("merge")
+    stays = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
+    stays = stays.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return stays.unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; every document stays."""
+    return pii.redact(docs, pii.train(docs))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", redact_personal_data),
+    ("packing", pack_sequences),
+]
+
+#: models and approximate neighbours are not SQL: tests hold the stages to brute force
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

@@ -76,6 +76,12 @@ SELECT * FROM r WHERE rank <= 5
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -88,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_ordinal_toxicity": op9_ordinal_toxicity,
         "op10_projection_forest": op10_projection_forest,
+        "pipeline": pipeline,
     }
 
 
