@@ -144,10 +144,10 @@ class Graph:
                 self.chain.append((previous, node))
             signs = "".join(c for c in core.lower() if c.isalnum())
             digits = "".join(c for c in signs if c.isdigit())
-            for key in {"=" + signs} | ({"7" + digits[-7:]} if len(digits) >= 7 else set()):
-                if key in last_of and last_of[key] != previous:
-                    self.skip.append((last_of[key], node))
-                last_of[key] = node
+            keys = {"=" + signs} | ({"7" + digits[-7:]} if len(digits) >= 7 else set())
+            chained = {previous} if self.chain and self.chain[-1] == (previous, node) else set()
+            self.skip += [(other, node) for other in {last_of[k] for k in keys if k in last_of} - chained]
+            last_of.update(dict.fromkeys(keys, node))
             previous, previous_end = node, m.end()
 
 
@@ -218,7 +218,7 @@ def train(docs: DataFrame, sample_nodes: int = 20_000, rounds: int = 300, l2: fl
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[d] for d in graph.doc], pa.int64()), pa.array([a for a, _ in graph.span], pa.int32()),
                  pa.array(label, pa.int32()), pa.array(graph.facts, pa.list_(pa.int64())),
-                 pa.array(list(near.transpose(1, 0, 2).reshape(len(graph.doc), -1)), pa.list_(pa.int32()))],
+                 pa.array(list(near.transpose(1, 0, 2).reshape(len(graph.doc), 3 * (CLEAR + 1))), pa.list_(pa.int32()))],
                 ["doc_id", "start", "label", "facts", "near"])
 
     nodes = texts(docs).mapInArrow(run, "doc_id long, start int, label int, facts array<long>, near array<int>")
