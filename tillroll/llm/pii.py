@@ -291,10 +291,11 @@ def find(docs: DataFrame, model: Field) -> DataFrame:
 def digests(found: DataFrame) -> DataFrame:
     """Counts of base spans by kind, their SHA-256, and all spans as text."""
     base = F.filter("spans", lambda s: s["base"])
+    of_kind = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
