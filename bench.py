@@ -4,9 +4,7 @@ Prints ONE JSON line (after one untimed warm-up pass of the same suite).
 The chain runs as the batch pipeline does: raw driver
 tables -> clean transactions (timed, stored once), then each mart / feature
 table from the stored clean table (each timed end to end: plan building,
-any materialisation, and a full evaluation through the ``noop`` sink). The
-reference-shaped plans (``tillroll.plans.naive``) run on the same stored input
-for comparison.
+any materialisation, and a full evaluation through the ``noop`` sink).
 """
 
 from __future__ import annotations
@@ -24,7 +22,6 @@ from tillroll import local_session  # noqa: E402
 from tillroll.operators import features as FE  # noqa: E402
 from tillroll.operators import gold as G  # noqa: E402
 from tillroll.operators import segmentation as SG  # noqa: E402
-from tillroll.plans import naive as N  # noqa: E402
 from tillroll.plans.registry import AS_OF, clean_df  # noqa: E402
 from tillroll.session import materialize  # noqa: E402
 
@@ -45,14 +42,9 @@ def main() -> None:
 
     # warm-up: the whole set once on the same data, not timed (code generation
     # and JIT of every plan shape at the measured row counts); then one timed pass
-    suite(spark, sf_dir, {}, {})
-    run(clean_df(spark, sf_dir))  # the largest plan gets a second warm-up run
-    spark.catalog.clearCache()
-    spark.sparkContext._jvm.System.gc()  # start the timed pass from a collected heap
-
+    suite(spark, sf_dir, {})
     times: dict[str, float] = {}
-    naive: dict[str, float] = {}
-    clean = suite(spark, sf_dir, times, naive)
+    clean = suite(spark, sf_dir, times)
     total = round(sum(times.values()), 3)
     print(json.dumps({
         "metric": "headline_queries_total",
@@ -60,14 +52,13 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-        "naive_reference_shape": naive,
         "config": {"master": f"local[{cpus}]", "shuffle_partitions": max(8, 2 * cpus),
-                   "driver_memory": "16g", "runs": 1, "warmup": "one untimed pass of all queries + one more clean run at the same sf, then GC",
+                   "driver_memory": "16g", "runs": 1, "warmup": "one untimed pass of all queries at the same sf",
                    "rows_clean": clean.count()},
     }))
 
 
-def suite(spark, sf_dir: str, times: dict, naive: dict):
+def suite(spark, sf_dir: str, times: dict):
     def timed(name, build):
         t0 = time.time()
         out = build()
@@ -78,10 +69,6 @@ def suite(spark, sf_dir: str, times: dict, naive: dict):
 
     clean = timed("clean_transactions", lambda: materialize(clean_df(spark, sf_dir), "bench_clean"))
     c360 = timed("customer_360", lambda: G.customer_360(clean, as_of=AS_OF))
-    extra: dict[str, float] = {}
-    t0 = time.time()
-    run(G.customer_360(clean, as_of=AS_OF, local_limit=0))
-    extra["customer_360_distributed_ranking"] = round(time.time() - t0, 3)
     timed("product_metrics", lambda: G.product_metrics(clean))
     timed("daily_aggregates", lambda: G.daily_aggregates(clean))
     timed("country_analytics", lambda: G.country_analytics(clean))
@@ -92,16 +79,6 @@ def suite(spark, sf_dir: str, times: dict, naive: dict):
     timed("basket_items", lambda: FE.basket_items(clean))
     stored_cf = materialize(cf, "bench_cf")
     timed("segmentation_k5", lambda: SG.segment(stored_cf)[1])
-
-    for name, build in [
-        ("customer_360", lambda: N.customer_360_naive(clean, as_of=AS_OF)),
-        ("product_metrics", lambda: N.product_metrics_naive(clean)),
-        ("customer_features", lambda: N.customer_features_naive(clean, stored_c360, as_of=AS_OF)),
-    ]:
-        t0 = time.time()
-        run(build())
-        naive[name] = round(time.time() - t0, 3)
-    naive.update({f"ours_{k}": v for k, v in extra.items()})
     return clean
 
 

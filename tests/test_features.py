@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from conftest import SF_SMALL, clean_of, line
 from tillroll.operators import features as FE
-from tillroll.operators import gold as G
-from tillroll.plans import naive as N
-from tillroll.plans.registry import AS_OF, clean_df, round_doubles
-
-
-def test_customer_features_equal_naive_lag_window(spark):
-    clean = clean_df(spark, SF_SMALL)
-    c360 = G.customer_360(clean, as_of=AS_OF)
-    ours = FE.customer_features(clean, as_of=AS_OF, c360=c360)
-    ref = N.customer_features_naive(clean, c360, as_of=AS_OF)
-    assert ours.columns == ref.columns == FE.CUSTOMER_FEATURE_COLUMNS
-    key = lambda r: (r.CustomerID, r.Country)
-    assert sorted(round_doubles(ours, 6).collect(), key=key) == sorted(
-        round_doubles(ref, 6).collect(), key=key)
+from tillroll.operators.silver import valid_sales
+from tillroll.plans.registry import clean_df
+
+
+def test_gap_std_is_null_below_two_gaps(spark):
+    rows = [line(inv="1", cust="1"), line(inv="2", cust="2"), line(inv="3", cust="2", date="12/5/2010 8:26")]
+    rows += [line(inv=str(10 + i), cust="3", date=f"12/{d}/2010 8:26") for i, d in enumerate((1, 3, 9))]
+    vk = valid_sales(clean_of(spark, rows), known_customer=True)
+    got = {r.CustomerID: r for r in FE.purchase_gap_features(vk).collect()}
+    assert got[1].std_days_between_purchases is None and got[1].avg_days_between_purchases_fe is None
+    assert got[2].std_days_between_purchases is None and got[2].avg_days_between_purchases_fe == 4.0
+    assert abs(got[3].std_days_between_purchases - 8 ** 0.5) < 1e-12
 
 
 def test_same_time_lines_have_zero_gaps(spark):

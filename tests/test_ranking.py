@@ -6,7 +6,15 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tillroll.operators.ranking import global_rank, ntile_exact, ntile_window, ntiles
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tillroll.operators.ranking import global_rank, ntiles, quantiles
+
+
+def ntile_window(df, order, k, out_col):
+    """The one-task window form, as the yardstick."""
+    return df.withColumn(out_col, F.ntile(k).over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])))
 
 
 def _tiles(df, fn, k=5):
@@ -16,7 +24,7 @@ def _tiles(df, fn, k=5):
 
 def _check(spark, values, k=5, parts=4):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
-    a = _tiles(df, lambda d, o, kk, c: ntile_exact(d, o, kk, c, num_partitions=parts), k)
+    a = _tiles(df, lambda d, o, kk, c: ntiles(d, o[1], {c: o[0]}, kk, num_partitions=parts), k)
     b = _tiles(df, ntile_window, k)
     assert a == b
 
@@ -52,13 +60,20 @@ def test_global_rank_is_a_permutation(spark):
     assert by_rank == [r.id for r in sorted(ranked, key=lambda r: (r.v, r.id))]
 
 
-def test_ntiles_switches_on_size(spark):
-    df = spark.createDataFrame([(i, float(i % 3)) for i in range(40)], "id long, v double")
-    small = ntiles(df, [(["v", "id"], 5, "t")], local_limit=1000)
-    large = ntiles(df, [(["v", "id"], 5, "t")], local_limit=0, num_partitions=4)
-    assert sorted(small.collect()) == sorted(large.collect())
-    plan = large._jdf.queryExecution().executedPlan().toString()
-    assert "ntile" not in plan.lower()
+def test_several_measures_share_one_ranking(spark):
+    df = spark.createDataFrame([(i, float(i % 3), None if i % 5 else i) for i in range(43)], "id long, v double, u long")
+    got = ntiles(df, "id", {"t": "v", "s": "u"}, 5, num_partitions=4)
+    want = ntile_window(ntile_window(df, ["v", "id"], 5, "t"), ["u", "id"], 5, "s")
+    assert sorted((r.id, r.t, r.s) for r in got.collect()) == sorted((r.id, r.t, r.s) for r in want.collect())
+    assert ntiles(df.limit(0), "id", {"t": "v"}, 5).count() == 0
+
+
+def test_quantiles_are_exact_lower_ones(spark):
+    values = [float((i * 37) % 101) for i in range(101)] + [None]
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v double")
+    ordered = sorted(v for v in values if v is not None)
+    got = quantiles(df, "v", ["id"], [80, 50, 20], num_partitions=3).first()._tr_q
+    assert got == [ordered[-(-p * 101 // 100) - 1] for p in (80, 50, 20)]
 
 
 def test_hot_value_is_split_across_partitions(spark):

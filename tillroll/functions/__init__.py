@@ -2,7 +2,6 @@
 
 from tillroll.functions.columns import (
     customer_to_int,
-    days_between,
     default_description,
     flag_cancellation,
     flag_return,
@@ -13,13 +12,11 @@ from tillroll.functions.columns import (
     parse_invoice_ts,
     ratio_or_zero,
     record_hash,
-    round_half_up,
     safe_div,
 )
 
 __all__ = [
     "customer_to_int",
-    "days_between",
     "default_description",
     "flag_cancellation",
     "flag_return",
@@ -30,6 +27,5 @@ __all__ = [
     "parse_invoice_ts",
     "ratio_or_zero",
     "record_hash",
-    "round_half_up",
     "safe_div",
 ]

@@ -89,13 +89,3 @@ def ratio_or_zero(num: str | Column, den: str | Column) -> Column:
     """``num / den`` when ``den > 0``, else 0.0 (the feature-table guard)."""
     d = col_or(den)
     return F.when(d > 0, F.try_divide(col_or(num).cast("double"), d)).otherwise(F.lit(0.0))
-
-
-def round_half_up(c: str | Column, places: int = 2) -> Column:
-    """SQL-style rounding (HALF_UP), used where the reference rounds."""
-    return F.round(col_or(c), places)
-
-
-def days_between(end: str | Column, start: str | Column) -> Column:
-    """Whole days between the dates of two timestamps (int)."""
-    return F.datediff(col_or(end), col_or(start))

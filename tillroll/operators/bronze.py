@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import record_hash
-from tillroll.sources.io import read_raw, write_table
-from tillroll.sources.schema import BRONZE_VERSION, HASH_KEYS, RAW_COLUMNS, SOURCE_FILE
+from tillroll.sources.io import read_raw, read_table, write_table
+from tillroll.sources.schema import BRONZE_VERSION, CORRUPT_COLUMN, HASH_KEYS, RAW_COLUMNS
 
 
 def _ts_literal(value: _dt.datetime | str | None) -> Column:
@@ -19,24 +19,30 @@ def _ts_literal(value: _dt.datetime | str | None) -> Column:
 def add_lineage(
     raw: DataFrame,
     ingested_at: _dt.datetime | str | None = None,
-    source_file: str = SOURCE_FILE,
+    source_file: str | None = None,
     version: str = BRONZE_VERSION,
     hash_keys=HASH_KEYS,
 ) -> DataFrame:
     """B1+B2: raw lines + ingestion_timestamp, source_file, bronze_layer_version,
-    record_hash (12 columns). ``ingested_at`` fixes the load time (default: now)."""
+    record_hash (12 columns; a reader's corrupt-record text is kept as a 13th).
+    ``ingested_at`` fixes the load time (default: now), ``source_file`` names the
+    source (default: the file each line was read from)."""
+    corrupt = [CORRUPT_COLUMN] if CORRUPT_COLUMN in raw.columns else []
     return raw.select(
         *RAW_COLUMNS,
         _ts_literal(ingested_at).alias("ingestion_timestamp"),
-        F.lit(source_file).alias("source_file"),
+        (F.input_file_name() if source_file is None else F.lit(source_file)).alias("source_file"),
         F.lit(version).alias("bronze_layer_version"),
         record_hash(hash_keys).alias("record_hash"),
+        *corrupt,
     )
 
 
 def bronze_quality(bronze: DataFrame) -> DataFrame:
-    """One row — total rows, NULL customers (+ %), negative quantities.
-    One aggregate job instead of three counts."""
+    """One row — total rows, NULL customers (+ %), negative quantities, and
+    the lines the reader could not parse, if it kept them. One aggregate job
+    instead of three counts."""
+    corrupt = [F.count(CORRUPT_COLUMN).alias("corrupt_rows")] if CORRUPT_COLUMN in bronze.columns else []
     total = F.count(F.lit(1))
     nulls = F.count_if(F.col("CustomerID").isNull())
     return bronze.agg(
@@ -44,6 +50,7 @@ def bronze_quality(bronze: DataFrame) -> DataFrame:
         nulls.alias("null_customers"),
         F.round(F.try_divide(nulls * 100.0, total), 2).alias("null_customers_pct"),
         F.count_if(F.col("Quantity") < 0).alias("negative_quantities"),
+        *corrupt,
     )
 
 
@@ -66,7 +73,10 @@ def ingest_transactions(
     fmt: str = "csv",
     table_fmt: str = "parquet",
     ingested_at: _dt.datetime | str | None = None,
-) -> str:
-    """Read raw file (A2) -> lineage (B1/B2) -> write bronze/transactions (A4)."""
-    bronze = add_lineage(read_raw(spark, path, fmt=fmt), ingested_at=ingested_at)
-    return write_table(bronze, base, "bronze", "transactions", fmt=table_fmt)
+    multi_line: bool = False,
+) -> tuple[str, DataFrame]:
+    """Read raw file (A2) -> lineage (B1/B2) -> write bronze/transactions
+    (A4); returns its path and the quality row (B3) of what was stored."""
+    raw = read_raw(spark, path, fmt=fmt, **({"multi_line": True} if multi_line else {}))
+    stored = write_table(add_lineage(raw, ingested_at=ingested_at), base, "bronze", "transactions", fmt=table_fmt)
+    return stored, bronze_quality(read_table(spark, base, "bronze", "transactions", fmt=table_fmt))

@@ -29,6 +29,7 @@ from tillroll.operators.gold import (
 )
 from tillroll.operators.silver import SILVER_COLUMNS, valid_sales
 
+# Output column names and order of the feature tables.
 BEHAVIOR_FE = [
     "purchase_frequency_fe", "avg_transaction_value_fe", "std_transaction_value",
     "max_transaction_value_fe", "min_transaction_value_fe", "avg_items_per_order_fe",
@@ -132,12 +133,13 @@ def purchase_gap_features(valid_known: DataFrame) -> DataFrame:
     # sample variance from exact integer sums: (N*S2 - S^2) / (N*(N-1))
     num = n_gaps.cast(dec) * F.col("_sg2").cast(dec) - F.col("_sg").cast(dec) * F.col("_sg").cast(dec)
     den = n_gaps.cast(dec) * (n_gaps - 1).cast(dec)
-    var = F.when(n_gaps > 1, num.cast("double") / den.cast("double"))
+    # NULL below two gaps, as a sample standard deviation is
+    std = F.when(n_gaps > 1, F.sqrt(F.greatest(num.cast("double") / den.cast("double"), F.lit(0.0))))
     has_zero = F.col("_n") > F.col("_m")
     return s.select(
         "CustomerID",
         F.when(n_gaps > 0, F.col("_sg") / n_gaps).alias("avg_days_between_purchases_fe"),
-        F.sqrt(F.greatest(var, F.lit(0.0))).alias("std_days_between_purchases"),
+        std.alias("std_days_between_purchases"),
         F.when(n_gaps > 0, F.when(has_zero, F.lit(0)).otherwise(F.col("_gmin")))
         .cast("int").alias("min_days_between_purchases"),
         F.when(n_gaps > 0, F.coalesce(F.col("_gmax"), F.lit(0)))
@@ -162,7 +164,7 @@ def derived_ratios(df: DataFrame) -> DataFrame:
 
 def customer_features(
     clean: DataFrame, as_of=None, c360: DataFrame | None = None,
-    num_partitions: int | None = None, local_limit: int | None = None,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """customer_360 + 31 behaviour/temporal/spending/affinity/engagement
     features + 6 derived, numeric NULLs filled with 0 (62 columns).
@@ -170,8 +172,7 @@ def customer_features(
     if c360 is not None:
         base = c360
     else:
-        extra = {} if local_limit is None else {"local_limit": local_limit}
-        base = customer_360(clean, as_of=as_of, num_partitions=num_partitions, **extra)
+        base = customer_360(clean, as_of=as_of, num_partitions=num_partitions)
     vk = valid_sales(clean, known_customer=True)
     per_customer = customer_line_features(vk, as_of=as_of).join(
         purchase_gap_features(vk), "CustomerID", "left"
@@ -204,13 +205,13 @@ def product_popularity(pls: DataFrame) -> DataFrame:
     The sample stddev of UnitPrice combines the groups' counts, means and
     second moments (parallel-variance formula, the merge Spark's own
     ``stddev`` uses): M2 = sum(M2_g + n_g * (mean_g - mean)^2)."""
-    by_code = Window.partitionBy("StockCode")
-    n_code = F.sum("_n_unit").over(by_code)
-    mean_code = F.sum(F.col("avg_price") * F.col("_n_unit")).over(by_code) / n_code
+    means = pls.groupBy("StockCode").agg(
+        safe_div(F.sum(F.col("avg_price") * F.col("_n_unit")), F.sum("_n_unit")).alias("_mean_code")
+    )
     parts = pls.select(
         "StockCode", "times_purchased", "unique_customers", "total_quantity_sold",
-        "avg_price", "_n_unit", "_m2_unit", mean_code.alias("_mean_code"),
-    )
+        "avg_price", "_n_unit", "_m2_unit",
+    ).join(means, "StockCode")
     n = F.sum("_n_unit")
     m2 = F.sum(F.col("_m2_unit") + F.col("_n_unit") * F.pow(F.col("avg_price") - F.col("_mean_code"), 2))
     return parts.groupBy("StockCode").agg(
@@ -314,16 +315,11 @@ def _zscore(x: str, mean: str, std: str):
     return F.when(s > 0, (F.col(x) - F.col(mean)) / s).otherwise(F.lit(0.0))
 
 
-# Guest lines (NULL customer) are salted over this many join keys.
-GUEST_SALTS = 1024
-
-
 def guest_salted_key(customer: str = "CustomerID", spread_by: str = "record_hash"):
-    """Join key for lines: the customer id, or for a guest line one of
-    ``GUEST_SALTS`` keys below the int range — never equal to a real id, so a
-    guest never matches, and guests spread over partitions instead of all
-    hashing to the one partition of the NULL key."""
-    salt = F.lit(-(1 << 32)) - F.pmod(F.xxhash64(spread_by), F.lit(GUEST_SALTS))
+    """Join key for lines: the customer id, or for a guest line its record's
+    hash moved below the int range — never equal to a real id, so a guest never
+    matches, and guests spread over as many keys as there are records."""
+    salt = F.lit(-(1 << 32)) - F.shiftrightunsigned(F.xxhash64(spread_by), 2)
     return F.coalesce(F.col(customer).cast("long"), salt)
 
 

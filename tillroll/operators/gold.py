@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import safe_div
-from tillroll.operators.ranking import LOCAL_RANK_LIMIT, ntiles
+from tillroll.operators.ranking import ntiles, quantiles
 from tillroll.session import materialize
 from tillroll.operators.silver import (
     _as_of_date,
@@ -36,12 +36,10 @@ RFM_SEGMENTS = [
 ]
 RFM_DEFAULT_SEGMENT = "Potential Loyalists"
 
-# Product performance bands (quantile of revenue -> label).
-PERFORMANCE_BANDS = [(0.8, "Star Products"), (0.5, "Good Performers"), (0.2, "Average")]
+# Product performance bands (percent of revenue ranks -> label).
+PERFORMANCE_BANDS = [(80, "Star Products"), (50, "Good Performers"), (20, "Average")]
 PERFORMANCE_DEFAULT = "Underperformers"
 
-QUANTILE_ACCURACY = 100_000
-
 
 # ------------------------------------------------------------ customer grain
 
@@ -115,22 +113,12 @@ def rfm_segment(r: Column, f: Column) -> Column:
 
 def rfm_scores(
     per_customer: DataFrame, k: int = 5, num_partitions: int | None = None,
-    local_limit: int = LOCAL_RANK_LIMIT,
 ) -> DataFrame:
     """r = k+1 - ntile(recency asc), f = ntile(frequency asc),
-    m = ntile(monetary asc); ties broken by CustomerID; rfm text; segment.
-    Above ``local_limit`` customers the tiles come from the distributed exact
-    ranking instead of a single-partition window."""
-    df = ntiles(
-        per_customer,
-        [
-            (["recency_days", "CustomerID"], k, "_r_tile"),
-            (["frequency", "CustomerID"], k, "f_score"),
-            (["monetary", "CustomerID"], k, "m_score"),
-        ],
-        num_partitions=num_partitions,
-        local_limit=local_limit,
-    )
+    m = ntile(monetary asc); ties broken by CustomerID; rfm text; segment."""
+    df = ntiles(per_customer, "CustomerID",
+                {"_r_tile": "recency_days", "f_score": "frequency", "m_score": "monetary"},
+                k, num_partitions=num_partitions)
     df = df.withColumn("r_score", (F.lit(k + 1) - F.col("_r_tile")).cast("int")).drop("_r_tile")
     return df.withColumn(
         "rfm_score", F.concat_ws("", "r_score", "f_score", "m_score")
@@ -141,6 +129,7 @@ RFM_COLUMNS = [
     "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
     "rfm_score", "customer_segment",
 ]
+# Output column names and order of the marts.
 BEHAVIOR_COLUMNS = [
     "avg_order_value", "max_order_value", "min_order_value", "unique_invoices",
     "avg_basket_value", "avg_items_per_transaction",
@@ -164,17 +153,15 @@ def rfm(clean: DataFrame) -> DataFrame:
     return per.select("CustomerID", "recency_days", "frequency", "monetary")
 
 
-def rfm_table(clean: DataFrame, k: int = 5, num_partitions: int | None = None,
-              local_limit: int = LOCAL_RANK_LIMIT) -> DataFrame:
+def rfm_table(clean: DataFrame, k: int = 5, num_partitions: int | None = None) -> DataFrame:
     """D3-D6 as one table per customer."""
     per = with_recency(customer_rollup(materialize(customer_country_stats(clean), "customer_country")))
     scored = rfm_scores(per.select("CustomerID", "recency_days", "frequency", "monetary"),
-                        k=k, num_partitions=num_partitions, local_limit=local_limit)
+                        k=k, num_partitions=num_partitions)
     return scored.select("CustomerID", *RFM_COLUMNS)
 
 
-def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None,
-                 local_limit: int = LOCAL_RANK_LIMIT) -> DataFrame:
+def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None) -> DataFrame:
     """Silver customers (grain CustomerID, Country) + RFM, behaviour,
     diversity, temporal figures per CustomerID (29 columns).
 
@@ -184,8 +171,7 @@ def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None
     joined back once (a multi-country customer gets the same figures on each
     of its rows, as in the reference)."""
     cc = materialize(customer_country_stats(clean), "customer_country")
-    per = rfm_scores(with_recency(customer_rollup(cc)), num_partitions=num_partitions,
-                     local_limit=local_limit)
+    per = rfm_scores(with_recency(customer_rollup(cc)), num_partitions=num_partitions)
     per = per.select("CustomerID", *(CUSTOMER_360_COLUMNS[len(PROFILE_COLUMNS):]))
     profile = customer_profile_columns(cc, as_of=as_of)
     return profile.join(per, "CustomerID", "left").select(*CUSTOMER_360_COLUMNS)
@@ -273,19 +259,12 @@ def product_performance(pls: DataFrame) -> DataFrame:
     )
 
 
-def performance_category(
-    df: DataFrame, col: str = "total_revenue", accuracy: int = QUANTILE_ACCURACY
-) -> DataFrame:
-    """Bands by the 20/50/80 % quantiles of ``col``.
-
-    One ``percentile_approx`` over all three probabilities (a 1-row aggregate
-    with bounded sketch memory), broadcast back — instead of three separate
-    quantile jobs collected to the driver. With ``accuracy`` above the row
-    count the values are the exact lower quantiles."""
-    probs = [p for p, _ in PERFORMANCE_BANDS]
-    q = df.agg(
-        F.percentile_approx(col, F.array(*[F.lit(p) for p in probs]), accuracy).alias("_tr_q")
-    )
+def performance_category(df: DataFrame, col: str = "total_revenue",
+                         keys=("StockCode", "Description")) -> DataFrame:
+    """Bands by the exact 20/50/80 % lower quantiles of ``col``, taken from
+    the distributed ranking of the narrow (col, keys) rows and broadcast back as
+    one row."""
+    q = quantiles(df, col, keys, [p for p, _ in PERFORMANCE_BANDS])
     out = df.crossJoin(F.broadcast(q))
     expr = None
     for i, (_, label) in enumerate(PERFORMANCE_BANDS):
@@ -302,8 +281,7 @@ PRODUCT_METRICS_COLUMNS = [
 ]
 
 
-def product_metrics(clean: DataFrame | None, accuracy: int = QUANTILE_ACCURACY,
-                    pls: DataFrame | None = None) -> DataFrame:
+def product_metrics(clean: DataFrame | None, pls: DataFrame | None = None) -> DataFrame:
     """Silver products (grain StockCode, Description) with the two
     revenue/quantity columns replaced by per-StockCode totals (D13), buyers,
     frequency and the performance band (15 columns). Lines are read once
@@ -316,7 +294,7 @@ def product_metrics(clean: DataFrame | None, accuracy: int = QUANTILE_ACCURACY,
         catalog, perf, "StockCode",
         {"total_revenue_gold": "total_revenue", "total_quantity_gold": "total_quantity_sold"},
     )
-    return performance_category(joined, accuracy=accuracy).select(*PRODUCT_METRICS_COLUMNS)
+    return performance_category(joined).select(*PRODUCT_METRICS_COLUMNS)
 
 
 def replace_columns_join(left: DataFrame, right: DataFrame, key: str,

@@ -45,14 +45,6 @@ def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
-# Row count up to which one task sorts the whole table (the window form); the
-# same idea as a broadcast threshold: a size checked at run time, with the
-# distributed form beyond it.
-LOCAL_RANK_LIMIT = 1_000_000
-# Rows per range partition the distributed form aims for (one task's sort).
-ROWS_PER_RANGE = 1_000_000
-
-
 def range_tagged(df: DataFrame, order: Sequence[str | Column],
                  num_partitions: int | None = None) -> DataFrame:
     """Steps 1-2, stored: rows range-partitioned and sorted on ``order`` with
@@ -121,30 +113,47 @@ def ntile_exact(
     ).drop("_tr_rank", "_tr_total")
 
 
-def ntile_window(df: DataFrame, order: Sequence[str | Column], k: int, out_col: str) -> DataFrame:
-    """The single-partition window form: exact, one task sorts every row. Only
-    for inputs whose size was checked (``ntiles``) and for equivalence tests."""
-    return df.withColumn(out_col, F.ntile(k).over(Window.orderBy(*_sort_cols(order))))
+def _not_above(place: Column):
+    return lambda start: start <= place
 
 
-def ntiles(
-    df: DataFrame,
-    specs: Sequence[tuple[Sequence[str | Column], int, str]],
-    num_partitions: int | None = None,
-    local_limit: int = LOCAL_RANK_LIMIT,
-) -> DataFrame:
-    """Several ``ntile`` columns, each ``(order, k, out_col)``.
-
-    The input is counted once: up to ``local_limit`` rows the window form runs
-    (one small sort, no extra jobs); above it every tile comes from the
-    distributed exact ranking. Both give identical tiles for a unique order."""
-    n = df.count()
-    if n > local_limit and not num_partitions:
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        num_partitions = max(shuffle, -(-n // ROWS_PER_RANGE))
-    for order, k, out_col in specs:
-        if n <= local_limit:
-            df = ntile_window(df, order, k, out_col)
-        else:
-            df = ntile_exact(df, order, k, out_col, num_partitions)
-    return df
+def ntiles(df: DataFrame, key: str, values: dict[str, str], k: int,
+           num_partitions: int | None = None) -> DataFrame:
+    """Several ``ntile(k) OVER (ORDER BY value, key)`` columns at once:
+    ``values`` maps the new column to the value's column; ``key`` is unique.
+
+    One narrow table (measure, value, key) is ranked for all measures. Only the
+    first row of each tile matters: those at most ``k`` keys per measure come
+    back as one broadcast row, and a row's tile is the number of them that are
+    not above it. The wide input is neither shuffled nor stored."""
+    names = list(values)
+    if not names:
+        return df
+    narrow = df.select(
+        F.col(key).alias("_tr_key"),
+        F.posexplode(F.array(*[F.col(values[n]).cast("double") for n in names])).alias("_tr_m", "_tr_v"),
+    )
+    ranked = global_rank(narrow, ["_tr_m", "_tr_v", "_tr_key"], rank_col="_tr_rank", total_col="_tr_total",
+                         num_partitions=num_partitions)
+    n = F.floor(F.col("_tr_total") / len(names))
+    within = F.col("_tr_rank") - F.col("_tr_m") * n
+    first = (within == 0) | (tile_of_rank(within, n, k) != tile_of_rank(within - 1, n, k))
+    place = F.struct(F.col("_tr_v"), F.col("_tr_key"))
+    starts = ranked.filter(first).agg(*[
+        F.collect_list(F.when(F.col("_tr_m") == i, place)).alias(f"_tr_s{i}") for i in range(len(names))
+    ])
+    out = df.crossJoin(F.broadcast(starts))
+    for i, name in enumerate(names):
+        own = F.struct(F.col(values[name]).cast("double").alias("_tr_v"), F.col(key).alias("_tr_key"))
+        out = out.withColumn(name, F.size(F.filter(f"_tr_s{i}", _not_above(own))))
+    return out.drop(*[f"_tr_s{i}" for i in range(len(names))])
+
+
+def quantiles(df: DataFrame, value: str, keys: Sequence[str], percents: Sequence[int],
+              num_partitions: int | None = None) -> DataFrame:
+    """One row ``_tr_q``: the exact lower quantiles of the non-NULL values, i.e.
+    those at rank ceil(percent * n / 100), from the distributed ranking."""
+    ranked = global_rank(df.select(value, *keys).filter(F.col(value).isNotNull()), [value, *keys],
+                         rank_col="_tr_rank", total_col="_tr_total", num_partitions=num_partitions)
+    at = [F.floor((F.col("_tr_total") * p + 99) / 100) - 1 for p in percents]
+    return ranked.agg(F.array(*[F.max(F.when(F.col("_tr_rank") == a, F.col(value))) for a in at]).alias("_tr_q"))

@@ -38,8 +38,9 @@ SEED = 42
 SWEEP_ITER = 20
 TRAIN_ITER = 100
 DEFAULT_K = 5
-LAYOUT_PARTITIONS = 8          # minimum partitions of the pinned K-Means input
-LAYOUT_ROWS_PER_PARTITION = 500_000
+# Partitions of the pinned K-Means input: k-means|| depends on them, so the number
+# is a stated parameter and never follows the row count; set it once per table.
+LAYOUT_PARTITIONS = 32
 
 # Cluster naming rules on cluster means (ordered, first match wins).
 CLUSTER_NAMES = [
@@ -51,6 +52,7 @@ CLUSTER_NAMES = [
 ]
 CLUSTER_DEFAULT_NAME = "Needs Attention"
 
+# Output columns of the segments table.
 SEGMENT_COLUMNS = [
     "CustomerID", "cluster_id", "segment_name", "recency_days", "frequency", "monetary",
     "customer_segment", "avg_transaction_value", "unique_products", "engagement_score_fe",
@@ -64,23 +66,16 @@ def prepare_features(cf: DataFrame, feature_cols=None) -> DataFrame:
     return cf.where((F.col("frequency") > 0) & (F.col("monetary") > 0)).fillna(0, subset=cols)
 
 
-def layout_partitions(rows: int) -> int:
-    """Partition count of the pinned layout: a function of the row count only
-    (so the same rows always get the same layout), growing with the data."""
-    return max(LAYOUT_PARTITIONS, -(-rows // LAYOUT_ROWS_PER_PARTITION))
-
-
-def pin_layout(df: DataFrame, partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+def pin_layout(df: DataFrame, partitions: int = LAYOUT_PARTITIONS, checkpoint: bool = True) -> DataFrame:
     """Q22: a layout that does not depend on how the input was read.
 
     With ``checkpoint`` the rows are first stored (one write job) so the fits
     never re-run the feature pipeline; hash partitioning on CustomerID into
-    ``layout_partitions(row count)`` partitions and the sort inside each are
-    functions of the rows only."""
+    ``partitions`` partitions and the sort inside each are functions of the rows
+    only."""
     if checkpoint:
         df = materialize(df, "kmeans_input")
-    n = partitions if partitions else layout_partitions(df.count())
-    return df.repartition(n, "CustomerID").sortWithinPartitions("CustomerID", "Country")
+    return df.repartition(partitions, "CustomerID").sortWithinPartitions("CustomerID", "Country")
 
 
 def _assembler(cols) -> VectorAssembler:
@@ -208,7 +203,7 @@ def save_model(model: PipelineModel, path: str, k: int, feature_cols=None) -> st
     return path
 
 
-def segment(cf: DataFrame, k: int = DEFAULT_K, feature_cols=None, partitions: int | None = None,
+def segment(cf: DataFrame, k: int = DEFAULT_K, feature_cols=None, partitions: int = LAYOUT_PARTITIONS,
             checkpoint: bool = True):
     """F1 -> pin -> F5 -> F6 -> F9: returns (model, segmented DataFrame)."""
     prepared = pin_layout(prepare_features(cf, feature_cols), partitions, checkpoint)

@@ -1,3 +1,2 @@
-"""Composition: the batch chain over stored tables (``pipeline``), the query
-registry and its DuckDB oracle SQL, and the reference-shaped baselines used by
-the benchmark (``naive``)."""
+"""The batch chain (``pipeline``) and the registered queries (``registry``) with
+their DuckDB SQL (``oracle``)."""

@@ -51,7 +51,7 @@ BRONZE = f"""bronze AS (
     coalesce(strftime(InvoiceDate, '%-m/%-d/%Y %-H:%M'), 'n/a') AS InvoiceDate,
     UnitPrice, CustomerID, Country,
     TIMESTAMP '{INGESTED_AT}' AS ingestion_timestamp,
-    'Online_Retail.xlsx' AS source_file,
+    'lineitem.parquet' AS source_file,
     'v1.0' AS bronze_layer_version,
     sha256(concat_ws('|', InvoiceNo, StockCode, coalesce(strftime(InvoiceDate, '%-m/%-d/%Y %-H:%M'), 'n/a'))) AS record_hash,
     InvoiceDate AS _ts

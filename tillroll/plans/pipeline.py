@@ -34,13 +34,15 @@ def run_pipeline(
     fmt: str = "parquet",
     as_of=None,
     ingested_at=None,
+    source_name: str = "dataframe",
     k: int = SG.DEFAULT_K,
     sweep: Iterable[int] | None = range(2, 11),
 ) -> dict[str, float]:
     """Run the chosen steps in order; returns wall seconds per step.
 
     ``source`` is a raw-lines DataFrame or a file path (read with the declared
-    schema); it is only needed for the bronze step."""
+    schema); it is only needed for the bronze step. ``source_name`` is the
+    lineage of a DataFrame source; a path's lines keep their file."""
     pin_session(spark)
     wanted = [s for s in STEPS if s in set(steps) and not (skip_bronze and s == "bronze")]
     timings: dict[str, float] = {}
@@ -54,7 +56,9 @@ def run_pipeline(
             if source is None:
                 raise ValueError("the bronze step needs a source")
             raw = source if isinstance(source, DataFrame) else read_raw(spark, source, fmt=source_fmt)
-            write_table(B.add_lineage(raw, ingested_at=ingested_at), base, "bronze", "transactions", fmt=fmt)
+            named = source_name if isinstance(source, DataFrame) else None
+            write_table(B.add_lineage(raw, ingested_at=ingested_at, source_file=named), base, "bronze",
+                        "transactions", fmt=fmt)
         elif step == "silver":
             write_table(S.clean_transactions(read("bronze", "transactions")), base, "silver",
                         "transactions_clean", fmt=fmt)

@@ -21,6 +21,7 @@ from tillroll.operators import gold as G
 from tillroll.operators import segmentation as SG
 from tillroll.operators import serving as SV
 from tillroll.operators import silver as S
+from tillroll.operators.silver import valid_sales
 from tillroll.plans import oracle as O
 from tillroll.sources.tables import raw_invoice_lines
 
@@ -42,7 +43,8 @@ def round_doubles(df: DataFrame, places: int = O.PLACES) -> DataFrame:
 # ------------------------------------------------------------- chain pieces
 
 def bronze_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.add_lineage(raw_invoice_lines(spark, sf_dir), ingested_at=INGESTED_AT)
+    # the lines come from a join, which has no one input file: name the fact table
+    return B.add_lineage(raw_invoice_lines(spark, sf_dir), ingested_at=INGESTED_AT, source_file="lineitem.parquet")
 
 
 def clean_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +199,17 @@ def _registry() -> dict[str, Query]:
                    "count(DISTINCT StockCode) AS distinct_products FROM v GROUP BY Country"),
         [], "Q1 Q2 (country grain)")
 
+    q["product_distinct_counts"] = Query(
+        lambda s, d: G.distinct_counts(clean_df(s, d), "product"),
+        w("clean", "SELECT StockCode, count(DISTINCT CustomerID) AS distinct_buyers, "
+                   "count(DISTINCT InvoiceNo) AS distinct_invoices FROM v GROUP BY StockCode"),
+        [], "Q1 Q2 (product grain)")
+    q["daily_distinct_counts"] = Query(
+        lambda s, d: G.distinct_counts(clean_df(s, d), "daily"),
+        w("clean", "SELECT CAST(invoice_datetime AS DATE) AS date, Country, count(DISTINCT CustomerID) AS distinct_customers, "
+                   "count(DISTINCT StockCode) AS distinct_products_sold FROM v GROUP BY ALL"),
+        [], "Q1 Q2 (daily grain)")
+
     # ---- gold: products
     q["product_metrics"] = Query(pm_df, w("pm", "SELECT * FROM pm"), PM_DOUBLES, "D12-D15")
     q["top_products"] = Query(
@@ -221,6 +234,9 @@ def _registry() -> dict[str, Query]:
         COUNTRY_DOUBLES, "D26")
 
     # ---- features
+    q["purchase_gaps"] = Query(
+        lambda s, d: FE.purchase_gap_features(valid_sales(clean_df(s, d), known_customer=True)),
+        w("cf", "SELECT * FROM gf"), ["avg_days_between_purchases_fe", "std_days_between_purchases"], "E2 E3")
     q["customer_features"] = Query(cf_df, w("cf", "SELECT * FROM cf"), CF_DOUBLES, "E1-E12")
     q["customer_feature_sample"] = Query(
         lambda s, d: FE.customer_feature_sample(cf_df(s, d)),

@@ -11,28 +11,33 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tillroll.sources.schema import PARTITIONED_BY, RAW_SCHEMA
+from tillroll.sources.schema import CORRUPT_COLUMN, PARTITIONED_BY, RAW_SCHEMA
 
 DEFAULT_FORMAT = "parquet"
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
+# CSV as spreadsheets write it: quotes inside a quoted cell are doubled.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def read_raw(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False, **options) -> DataFrame:
     """A2: load raw invoice lines with the declared schema (no inference pass).
 
     CSV/JSON get the explicit schema, so a missing CustomerID is NULL, never
-    NaN or the text 'nan'. Parquet/ORC files are read as stored and then
-    conformed (missing raw columns become typed NULLs).
+    NaN or the text 'nan'; a line that does not fit it keeps its text in
+    ``_corrupt_record`` (counted by ``bronze_quality``). ``multi_line`` reads
+    cells with line breaks (a file is then one task). Parquet/ORC files are read
+    as stored and then conformed (missing raw columns become typed NULLs).
     """
-    reader = spark.read
     if fmt in ("csv", "json"):
-        reader = reader.schema(RAW_SCHEMA)
+        schema = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+        reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         if fmt == "csv":
-            reader = reader.option("header", options.pop("header", "true"))
-    df = reader.options(**options).format(fmt).load(path)
-    if fmt in ("csv", "json"):
-        return df
-    return conform_raw(df)
+            reader = reader.options(**CSV_OPTIONS)
+        return reader.option("multiLine", str(multi_line).lower()).options(**options).format(fmt).load(path)
+    return conform_raw(spark.read.options(**options).format(fmt).load(path))
 
 
 def conform_raw(df: DataFrame) -> DataFrame:
@@ -70,6 +75,10 @@ def write_table(
     ``PARTITIONED_BY`` are written hive-style so readers prune partitions."""
     path = table_path(base, layer, name)
     cols = partition_by if partition_by is not None else PARTITIONED_BY.get((layer, name))
+    if cols:
+        # rows of a partition meet before the write: files follow the data's
+        # size (AQE splits a big partition), not the number of tasks
+        df = df.hint("rebalance", *cols)
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
@@ -87,19 +96,22 @@ def write_partitioned(
     return write_table(df, base, layer, name, fmt=fmt, partition_by=list(cols))
 
 
-def read_table(spark: SparkSession, base: str, layer: str, name: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Load a stored table (partition columns come back as columns)."""
-    return spark.read.format(fmt).load(table_path(base, layer, name))
+def read_table(spark: SparkSession, base: str, layer: str, name: str, fmt: str = DEFAULT_FORMAT,
+               columns: Sequence[str] | None = None) -> DataFrame:
+    """Load a stored table. Partition columns come back last; ``columns``
+    puts them back in the declared order."""
+    df = spark.read.format(fmt).load(table_path(base, layer, name))
+    return df.select(*columns) if columns else df
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV sink with header. ``single_file`` (coalesce(1)) is opt-in only:
     it funnels the whole table through one task."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", "true").csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV source with header; every column is a string."""
-    return spark.read.option("header", "true").csv(path)
+    return spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()).csv(path)

@@ -25,10 +25,11 @@ RAW_SCHEMA = StructType(
 )
 
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
+# Text of an input line that does not fit the schema (NULL for all others).
+CORRUPT_COLUMN = "_corrupt_record"
 
 # Invoice text format, lineage literals and the raw-record hash keys.
 INVOICE_TS_FORMAT = "M/d/yyyy H:mm"
-SOURCE_FILE = "Online_Retail.xlsx"
 BRONZE_VERSION = "v1.0"
 HASH_KEYS = ("InvoiceNo", "StockCode", "InvoiceDate")
 HASH_SEPARATOR = "|"
