@@ -16,6 +16,7 @@ import os
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +87,27 @@ def _scaler() -> StandardScaler:
     return StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
 
 
+def scaled_features(prepared: DataFrame, feature_cols=None) -> DataFrame:
+    """``prepared`` with ``<feature>_scaled`` columns, (x - mean) / sample
+    standard deviation as the assembler and scaler of the fit give them."""
+    cols = list(feature_cols or FEATURE_COLUMNS)
+    scaled = Pipeline(stages=[_assembler(cols), _scaler()]).fit(prepared).transform(prepared)
+    values = vector_to_array("features")
+    return scaled.select(*prepared.columns, *[values[i].alias(f"{c}_scaled") for i, c in enumerate(cols)])
+
+
+def assign_to_centres(scaled: DataFrame, centres: dict[str, list[float]]) -> DataFrame:
+    """F6 for centres given in scaled space (one list per feature, a value for
+    each centre): + cluster_id of the nearest one, the first of equal ones."""
+    k = len(next(iter(centres.values())))
+    distances = F.array(*[
+        sum(((F.col(f"{c}_scaled") - F.lit(float(v[i]))) * (F.col(f"{c}_scaled") - F.lit(float(v[i]))) for c, v in centres.items()), F.lit(0.0))
+        for i in range(k)
+    ])
+    nearest = F.array_position(distances, F.array_min(distances)) - 1
+    return scaled.withColumn("cluster_id", nearest.cast("int")).drop(*[c for c in scaled.columns if c.endswith("_scaled")])
+
+
 def k_sweep(prepared: DataFrame, feature_cols=None, k_values=range(2, 11),
             max_iter: int = SWEEP_ITER, seed: int = SEED) -> DataFrame:
     """training cost for each k (same scaling for all). Returns a table

@@ -341,6 +341,44 @@ tf AS (
   FROM clean c LEFT JOIN cstats s ON c.CustomerID = s.CustomerID
 )"""
 
+# Five documented centres in scaled space for the assignment queries (feature:
+# value at each centre).
+CENTRES = {
+    "recency_days": [-0.6, 0.9, -0.4, 1.8, 0.1],
+    "frequency": [1.2, 0.8, -0.7, -0.9, 0.0],
+    "monetary": [1.3, 0.6, -0.7, -0.8, 0.1],
+}
+
+
+def _distance(i: int) -> str:
+    return " + ".join(f"({c}_scaled - ({v[i]})) * ({c}_scaled - ({v[i]}))" for c, v in CENTRES.items())
+
+
+def scaled_columns(columns) -> str:
+    return ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}_scaled" for c in columns)
+
+
+CENTRE_SEGMENTS = f"""scaled AS (
+  SELECT *, {scaled_columns(CENTRES)} FROM cf WHERE frequency > 0 AND monetary > 0
+),
+measured AS (SELECT *, [{", ".join(_distance(i) for i in range(5))}] AS _d FROM scaled),
+clustered AS (SELECT *, CAST(list_position(_d, list_min(_d)) - 1 AS INTEGER) AS cluster_id FROM measured),
+cnames AS (
+  SELECT cluster_id, CASE
+      WHEN avg(recency_days) < 60 AND avg(frequency) > 5 AND avg(monetary) > 500 THEN 'Champions'
+      WHEN avg(recency_days) < 90 AND avg(frequency) > 3 THEN 'Loyal Customers'
+      WHEN avg(recency_days) < 60 AND avg(frequency) <= 3 THEN 'Promising'
+      WHEN avg(recency_days) >= 180 AND avg(frequency) > 3 THEN 'At Risk'
+      WHEN avg(recency_days) >= 180 THEN 'Hibernating'
+      ELSE 'Needs Attention' END AS segment_name
+  FROM clustered GROUP BY cluster_id
+),
+csegs AS (
+  SELECT c.CustomerID, c.cluster_id, n.segment_name, c.recency_days, c.frequency, c.monetary, c.customer_segment,
+    c.avg_transaction_value, c.unique_products, c.engagement_score_fe
+  FROM clustered c JOIN cnames n ON c.cluster_id = n.cluster_id
+)"""
+
 # Layer dependencies (each layer lists what it needs before it).
 _LAYERS = {
     "raw": (RAW, []),
@@ -353,6 +391,7 @@ _LAYERS = {
     "daily": (DAILY, ["clean"]),
     "country": (COUNTRY, ["clean"]),
     "cf": (CUSTOMER_FEATURES, ["c360"]),
+    "csegs": (CENTRE_SEGMENTS, ["cf"]),
     "pf": (PRODUCT_FEATURES, ["pm"]),
     "tf": (TRANSACTION_FEATURES, ["clean"]),
 }

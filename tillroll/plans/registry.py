@@ -23,6 +23,7 @@ from tillroll.operators import serving as SV
 from tillroll.operators import silver as S
 from tillroll.operators.silver import valid_sales
 from tillroll.plans import oracle as O
+from tillroll.session import materialize
 from tillroll.sources.tables import raw_invoice_lines
 
 AS_OF = O.AS_OF
@@ -72,6 +73,18 @@ def segments_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SG.customer_segments(segmented_df(spark, sf_dir))
 
 
+def scaled_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SG.scaled_features(materialize(SG.prepare_features(cf_df(spark, sf_dir)), "prepared"))
+
+
+def centre_segmented_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SG.assign_segments(SG.assign_to_centres(scaled_df(spark, sf_dir), O.CENTRES))
+
+
+def centre_segments_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SG.customer_segments(centre_segmented_df(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ registry
 
 @dataclass
@@ -269,6 +282,43 @@ def _registry() -> dict[str, Query]:
     q["segment_profiles"] = Query(
         lambda s, d: SG.segment_profiles(segmented_df(s, d)), survey="F10")
 
+    # the same operators over documented centres, which SQL reproduces
+    q["scaled_features"] = Query(
+        lambda s, d: scaled_df(s, d).select("CustomerID", "Country", *[f"{c}_scaled" for c in SG.FEATURE_COLUMNS]),
+        w("cf", f"SELECT CustomerID, Country, {O.scaled_columns(SG.FEATURE_COLUMNS)} FROM cf WHERE frequency > 0 AND monetary > 0"),
+        [f"{c}_scaled" for c in SG.FEATURE_COLUMNS], "F2 F3")
+    q["centre_segments"] = Query(
+        centre_segments_df, w("csegs", "SELECT * FROM csegs"),
+        ["monetary", "avg_transaction_value", "engagement_score_fe"], "F6-F9 F11")
+    q["centre_profiles"] = Query(
+        lambda s, d: SG.segment_profiles(centre_segmented_df(s, d)),
+        w("csegs", "SELECT segment_name, count(CustomerID) AS customer_count, avg(recency_days) AS avg_recency_days, "
+                   "avg(frequency) AS avg_frequency, avg(monetary) AS avg_monetary, "
+                   "avg(avg_transaction_value) AS avg_transaction_value, avg(unique_products) AS avg_unique_products, "
+                   "avg(engagement_score_fe) AS avg_engagement_score_fe FROM csegs GROUP BY segment_name"),
+        ["avg_recency_days", "avg_frequency", "avg_monetary", "avg_transaction_value", "avg_unique_products",
+         "avg_engagement_score_fe"], "F10")
+    q["centre_segments_summary"] = Query(
+        lambda s, d: SV.segments_summary(centre_segments_df(s, d)),
+        w("csegs", f"SELECT segment_name, count(*) AS customer_count, {O.r('sum(monetary)')} AS total_revenue, "
+                   f"{O.r('avg(frequency)')} AS avg_frequency FROM csegs GROUP BY segment_name"),
+        ["total_revenue", "avg_frequency"], "G3")
+    q["centre_segment_names"] = Query(
+        lambda s, d: SV.list_segments(centre_segments_df(s, d)),
+        w("csegs", "SELECT DISTINCT segment_name FROM csegs"), [], "G4")
+    q["centre_segment_detail"] = Query(
+        lambda s, d: SV.segment_detail(centre_segments_df(s, d), "At Risk"),
+        w("csegs", f"SELECT segment_name, count(*) AS customer_count, {O.r('avg(recency_days)')} AS avg_recency, "
+                   f"{O.r('avg(frequency)')} AS avg_frequency, {O.r('avg(monetary)')} AS avg_monetary, "
+                   f"{O.r('sum(monetary)')} AS total_revenue FROM csegs WHERE segment_name = 'At Risk' GROUP BY segment_name"),
+        ["avg_recency", "avg_frequency", "avg_monetary", "total_revenue"], "G5")
+    q["centre_customer_segment"] = Query(
+        lambda s, d: SV.customer_segment(centre_segments_df(s, d), 1),
+        w("csegs", "SELECT CustomerID AS customer_id, segment_name, cluster_id, recency_days, frequency, "
+                   f"{O.r('monetary')} AS monetary, {O.r('avg_transaction_value')} AS avg_transaction_value FROM csegs "
+                   "WHERE CustomerID = 1 ORDER BY cluster_id, csegs.avg_transaction_value, segment_name LIMIT 1"),
+        ["monetary", "avg_transaction_value"], "G6")
+
     # ---- serving
     q["customer_overview"] = Query(
         lambda s, d: SV.customer_overview(c360_df(s, d)),
