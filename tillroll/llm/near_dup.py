@@ -6,19 +6,18 @@
 2. The forest: ``trees`` sorted orders, tree t reading the signature from
    position ``t * step`` on. One range exchange sorts all trees; a hot region is
    split like any other. Neighbours in an order are candidates if their common
-   prefix has ``min_depth`` values, and one more for each doubling of the places
+   prefix has ``min_depth`` values, and one more for every fourfold of the places
    between them (up to ``window``): a sparse region is searched at
    ``min_depth``, a crowded one deeper, and candidates stay in proportion to the
-   documents. The rest of their ``depth`` values must agree about as often as
-   linked texts do.
-3. Candidates whose signatures agree far less than the threshold asks for go;
-   the others are confirmed on their full shingle sets.
+   documents. The next ``sketch`` values of the signature travel with a row and
+   must agree about as often as linked texts' do.
+3. Candidates are confirmed on their full shingle sets.
 4. Links join classes to components; a document is kept if it is the smallest
    of its component.
 
-A lone pair at the threshold shares ``min_depth`` values in some tree with odds
-of one miss in 10^12, and falls below the signature filter about once in a
-hundred thousand; a text in a crowd has many links, of which one is enough.
+A lone pair at the threshold is a candidate in a tree with odds of about 0.6, in
+none of 32 trees about once in 10^12; a text in a crowd has many links, of which
+one is enough.
 
 Edge cases: null and empty texts have an empty set and no link; classes whose
 smallest ids are equal (repeated ids with different texts) count as one node; a
@@ -122,72 +121,59 @@ def signatures(docs: DataFrame, width: int = 5, hashes: int = 128) -> DataFrame:
     return texts(docs).mapInArrow(run, _SETS)
 
 
-def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, min_depth: int, window: int, least: float) -> DataFrame:
-    """Neighbours (a, b) in the forest's orders over (id, signature)."""
+def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, sketch: int, min_depth: int, window: int,
+               least: float) -> DataFrame:
+    """Neighbours (a, b) in the forest's orders over (id, signature) that agree
+    in a share of at least ``least`` of the ``sketch`` values after the prefix
+    (a byte of each is compared)."""
     step = hashes // trees
-    double = F.concat("signature", "signature")
-    orders = classes.select(
-        "id",
-        F.posexplode(F.array(*[F.substring(double, 4 * step * t + 1, 4 * depth) for t in range(trees)])).alias("tree", "prefix"))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            values = np.frombuffer(b"".join(batch["signature"].to_pylist()), ">u4").reshape(n, hashes)
+            for t in range(trees):
+                turned = np.roll(values, -step * t, axis=1)
+                prefix = np.ascontiguousarray(turned[:, :depth])
+                low = (turned[:, depth:depth + sketch] & 0xFF).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["id"], pa.array([t] * n, pa.int32()), pa.array([r.tobytes() for r in prefix], pa.binary()),
+                     pa.array([r.tobytes() for r in low], pa.binary())], ["id", "tree", "prefix", "sketch"])
+
+    orders = classes.select("id", "signature").mapInArrow(spread, "id long, tree int, prefix binary, sketch binary")
     keys = ["tree", "prefix", "id"]
     ordered = orders.repartitionByRange(*keys).sortWithinPartitions(*keys)
-
-    deepest = min(depth, min_depth + (window - 1).bit_length())
-    agree = int(least * depth)
+    deepest = min(depth, min_depth + (window - 1).bit_length() // 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, near = np.empty(0, np.int64), np.empty((0, depth + 1), np.uint32)
+        ids, near, low = np.empty(0, np.int64), np.empty((0, deepest + 1), np.uint32), np.empty((0, sketch), np.uint8)
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            prefix = np.frombuffer(b"".join(batch["prefix"].to_pylist()), ">u4").reshape(n, depth)
+            prefix = np.frombuffer(b"".join(batch["prefix"].to_pylist()), ">u4").reshape(n, depth)[:, :deepest]
             tree = batch["tree"].to_numpy().astype(np.uint32)[:, None]
             old = len(ids)
             ids = np.concatenate([ids, batch["id"].to_numpy()])
             near = np.concatenate([near, np.hstack([tree, prefix.astype(np.uint32)])])
+            low = np.concatenate([low, np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint8).reshape(n, sketch)])
             a, b = [], []
             for o in range(1, window + 1):
                 lo = max(0, old - o)
-                level = 1 + min(deepest, min_depth + (o - 1).bit_length())
+                level = 1 + min(deepest, min_depth + (o - 1).bit_length() // 2)
                 same = np.flatnonzero((near[lo + o:, :level] == near[lo:len(ids) - o, :level]).all(axis=1)) + lo
-                same = same[(near[same, 1:] == near[same + o, 1:]).sum(axis=1) >= agree]
+                same = same[(low[same] == low[same + o]).mean(axis=1) >= least]
                 a.append(ids[same]), b.append(ids[same + o])
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-            ids, near = ids[-window:], near[-window:]
+            ids, near, low = ids[-window:], near[-window:], low[-window:]
 
     return ordered.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Pairs whose signatures agree in a share of at least ``least``; a byte of
-    each value is compared."""
-
-    def low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array([x[3::4] for x in batch["signature"].to_pylist()], pa.binary())], ["id", "sketch"])
-
-    sketches = materialize(classes.select("id", "signature").mapInArrow(low_bytes, "id long, sketch binary"), "sketches")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(n, -1) for c in ("x", "y"))
-            good = pa.array((x == y).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(good), batch["b"].filter(good)], ["a", "b"])
-
-    return (
-        pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
-        .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-    )
-
-
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs of ``doc_id`` whose full sets share at least ``percent`` of their
     union, with the two set sizes' intersection."""
@@ -201,7 +187,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                         [rows["doc_id"], pa.array([s.tobytes() for s in shingle_sets(rows["text"].to_pylist(), width)], pa.binary())],
                         ["doc_id", "shingles"])
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ends = [pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b")]
+    ids = ends[0].unionByName(ends[1]).distinct()
     full = materialize(texts(docs).join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +212,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, hashes: int = 160, trees: int = 32,
-                    depth: int = 16, min_depth: int = 3, window: int = 8) -> DataFrame:
+                    depth: int = 7, sketch: int = 48, min_depth: int = 3, window: int = 16) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``
     and ``kept``. Texts are linked when their shingle sets share ``percent`` of
     their union."""
@@ -235,9 +222,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, hashes:
         .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")),
         "classes")
     nodes = classes.filter("id IS NOT NULL")
-    least = percent / 100 - 0.15
-    pairs = candidates(nodes, hashes, trees, depth, min_depth, window, least)
-    pairs = materialize(_agreeing(pairs, nodes, least), "candidates")
+    pairs = materialize(
+        candidates(nodes, hashes, trees, depth, sketch, min_depth, window, percent / 100 - 0.15), "candidates")
     links = confirmed(pairs, docs, width, percent)
     labels = components(links)
     label = labels.select(F.col("node").alias("id"), "component")
