@@ -30,7 +30,7 @@ def test_stages(spark):
 
 
 def test_stages_on_odd_rows(spark):
-    for docs, n in ((odd_documents(spark), 10), (empty_documents(spark), 0)):
+    for docs, n in ((odd_documents(spark), 9), (empty_documents(spark), 0)):  # 4 and 5 are like 3, 6 repeats
         for _, stage in corpus_pipeline.STAGES[:3]:
             docs = stage(spark, docs, SMALL)
         assert docs.count() == n and corpus_pipeline.pack_sequences(spark, docs, SMALL).select("doc_id").distinct().count() == n
