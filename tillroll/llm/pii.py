@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import texts
+from tillroll.llm.common import materialize, texts
 
 KINDS = ("email", "ip", "card", "phone")
 CLEAR = len(KINDS)
@@ -199,7 +199,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def train(docs: DataFrame, sample_nodes: int = 20_000, rounds: int = 300, l2: float = 1.0, least: float = 0.95) -> Field:
+def train(docs: DataFrame, sample_nodes: int = 6000, rounds: int = 300, l2: float = 1.0, least: float = 0.95) -> Field:
     """Pseudo-likelihood fit (every node given its neighbours' labels) to the
     base spans of ``sample_nodes`` nodes; nodes are made on the executors."""
 
@@ -222,7 +222,8 @@ def train(docs: DataFrame, sample_nodes: int = 20_000, rounds: int = 300, l2: fl
                 ["doc_id", "start", "label", "facts", "near"])
 
     nodes = texts(docs).mapInArrow(run, "doc_id long, start int, label int, facts array<long>, near array<int>")
-    rows = nodes.orderBy(F.xxhash64("doc_id"), "doc_id", "start", "label").limit(sample_nodes).collect()
+    # stored first: the executors merge their smallest, the driver gets the sample alone
+    rows = materialize(nodes.orderBy(F.xxhash64("doc_id"), "doc_id", "start", "label").limit(sample_nodes), "nodes").collect()
     y = np.array([r["label"] for r in rows], np.int64)
     if not (y != CLEAR).any():
         return Field(least=least)
