@@ -198,6 +198,22 @@ def test_near_duplicates_equal_brute_force(spark, percent):
     assert got == sorted(brute_components(rows, percent))
 
 
+@pytest.mark.parametrize("percent,changed", [(80, 3), (85, 2)])
+def test_one_original_with_many_copies_equals_brute_force(spark, percent, changed):
+    """Copies are linked with the original alone: each replaces other words."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(154)]
+    rows = [(500, " ".join(base))]
+    for i in range(1200):
+        copy = list(base)
+        for at in rng.sample(range(154), changed + (i % 40 == 0) * 12):
+            copy[at] = f"x{i}y{at}"
+        rows.append((1000 + i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, near_dup.near_duplicates(docs, percent=percent).collect()))
+    assert got == sorted(brute_components(rows, percent))
+
+
 def test_near_duplicate_edges(spark):
     got = near_dup.near_duplicates(odd_documents(spark)).collect()
     by = {}

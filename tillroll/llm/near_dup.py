@@ -14,10 +14,15 @@
 3. Candidates are confirmed on their full shingle sets.
 4. Links join classes to components; a document is kept if it is the smallest
    of its component.
+5. Rows of a run of equal ``min_depth`` prefixes that is longer than the window
+   (a crowd) may have links that the window does not reach. They are joined
+   exactly on the rarest shingles of their sets (two sets at the threshold share
+   one of them), leaving out pairs inside one component: first each row with the
+   most typical row of a shingle, then, over what is still apart, all rows.
 
 A lone pair at the threshold is a candidate in a tree with odds of about 0.6, in
-none of 32 trees about once in 10^12; a text in a crowd has many links, of which
-one is enough.
+none of 32 trees about once in 10^12; links between rows of crowds are searched
+exactly.
 
 Edge cases: null and empty texts have an empty set and no link; classes whose
 smallest ids are equal (repeated ids with different texts) count as one node; a
@@ -125,7 +130,8 @@ def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, sketch:
                least: float) -> DataFrame:
     """Neighbours (a, b) in the forest's orders over (id, signature) that agree
     in a share of at least ``least`` of the ``sketch`` values after the prefix
-    (a byte of each is compared)."""
+    (a byte of each is compared); and (a, a) of each row whose run of equal
+    ``min_depth`` prefixes reaches beyond the window."""
     step = hashes // trees
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,17 +172,20 @@ def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, sketch:
                 same = np.flatnonzero((near[lo + o:, :level] == near[lo:len(ids) - o, :level]).all(axis=1)) + lo
                 same = same[(low[same] == low[same + o]).mean(axis=1) >= least]
                 a.append(ids[same]), b.append(ids[same + o])
+            lo = max(0, old - window)
+            far = np.flatnonzero((near[lo + window:, :1 + min_depth] == near[lo:len(ids) - window, :1 + min_depth]).all(axis=1)) + lo
+            for end in (ids[far], ids[far + window]):
+                a.append(end), b.append(end)
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
             ids, near, low = ids[-window:], near[-window:], low[-window:]
 
-    return ordered.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs of ``doc_id`` whose full sets share at least ``percent`` of their
-    union, with the two set sizes' intersection."""
+def full_sets(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id`` and full shingle set of the texts in ``pairs``, stored."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -189,7 +198,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
     ends = [pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b")]
     ids = ends[0].unionByName(ends[1]).distinct()
-    full = materialize(texts(docs).join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"), "sets")
+    return materialize(texts(docs).join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"), "sets")
+
+
+def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``doc_id`` whose full sets share at least ``percent`` of their
+    union, with the two set sizes' intersection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,6 +225,81 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     )
 
 
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How often shingles of each of 2^16 hash buckets occur: orders shingles
+    from rare to common (any one order keeps the join exact)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for s in batch["shingles"].to_pylist():
+                seen += np.bincount((np.frombuffer(s, np.uint64) >> np.uint64(48)).astype(np.int64), minlength=1 << 16)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["bucket", "n"])
+
+    often = np.zeros(1 << 16, np.int64)
+    counted = sets.select("shingles").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    for bucket, n in counted.collect():  # at most 2^16 rows
+        often[bucket] = n
+    return often
+
+
+def _rare_shingles(sets: DataFrame, labels: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
+    """For each set (id) its component and its rarest shingles, so many that two
+    linked sets share one; ``place`` in the set's order from rare to common, set
+    size ``n``, and how common the set's shingles are on average (``typical``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                rows = batch.slice(at, 512)
+                found, size, mean = [], [], []
+                for raw in rows["shingles"].to_pylist():
+                    s = np.frombuffer(raw, np.uint64)
+                    f = often[(s >> np.uint64(48)).astype(np.int64)]
+                    found.append(s[np.lexsort((s, f))[:len(s) - (percent * len(s) + 99) // 100 + 1]])
+                    size.append(len(s)), mean.append(f.mean())
+                k = [len(f) for f in found]
+                if not k:
+                    continue
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found).view(np.int64)),
+                     pa.array(np.repeat(rows["id"].to_numpy(), k)), pa.array(np.repeat(rows["component"].to_numpy(), k)),
+                     pa.array(np.concatenate([np.arange(i, dtype=np.int64) for i in k])), pa.array(np.repeat(np.array(size, np.int64), k)),
+                     pa.array(np.repeat(np.array(mean, float), k))],
+                    ["shingle", "id", "component", "place", "n", "typical"])
+
+    label = labels.select(F.col("node").alias("id"), "component")
+    placed = sets.join(label, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "shingles")
+    return materialize(
+        placed.mapInArrow(run, "shingle long, id long, component long, place long, n long, typical double"), "rare-shingles")
+
+
+def crowd_links(crowd: DataFrame, full: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """``links`` (a, b) and those that join all linked sets of the ids in
+    ``crowd`` to its components."""
+    sets = materialize(full.withColumnRenamed("doc_id", "id").join(crowd, "id", "left_semi"), "crowd")
+    often = _rarity(sets)
+    for every in (False, True):
+        rare = _rare_shingles(sets, components(links), often, percent)
+        mixed = rare.groupBy("shingle").agg(
+            F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+            F.max(F.struct("typical", "id", "component")).alias("top"),
+        ).filter("_lo <> _hi").select(F.col("shingle").alias("_s"), F.col("top.id").alias("other"), F.col("top.component").alias("_main"))
+        # rows outside the component of the shingle's most typical row
+        apart = rare.join(mixed, (F.col("shingle") == F.col("_s")) & (F.col("component") != F.col("_main")))
+        if every:
+            x, y = apart.drop("other").alias("x"), rare.alias("y")
+            shared = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # at most, from their first one on
+            apart = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
+                           & (shared * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+                           ).select(F.col("x.id").alias("id"), F.col("y.id").alias("other"))
+        pairs = apart.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        found = confirmed(materialize(pairs, "crowd-pairs"), full, percent).select("a", "b")
+        links = materialize(links.unionByName(found), "crowd-links")
+    return links
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, hashes: int = 160, trees: int = 32,
                     depth: int = 7, sketch: int = 48, min_depth: int = 3, window: int = 16) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``
@@ -224,7 +313,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, hashes:
     nodes = classes.filter("id IS NOT NULL")
     pairs = materialize(
         candidates(nodes, hashes, trees, depth, sketch, min_depth, window, percent / 100 - 0.15), "candidates")
-    links = confirmed(pairs, docs, width, percent)
+    full = full_sets(pairs, docs, width)
+    links = materialize(confirmed(pairs.filter("a <> b"), full, percent).select("a", "b"), "confirmed")
+    crowd = pairs.filter("a = b").select(F.col("a").alias("id"))
+    if crowd.limit(1).count():
+        links = crowd_links(crowd, full, links, percent)
     labels = components(links)
     label = labels.select(F.col("node").alias("id"), "component")
     of_class = classes.select("digest", "id").join(label, "id", "left").select(
