@@ -149,6 +149,19 @@ def test_cumulative_fit_orders_thresholds():
     assert w[0] > 0 and (np.diff(t) > 0).all()
 
 
+def test_words_with_inner_stars_count(spark):
+    words = toxicity.words_of("sh*t f**k b**ch ab a*b sh*ts, clean")
+    assert words == ["sh*t", "f**k", "b**ch", "ab", "a*b", "sh*ts", "clean"]
+    known = {"sh*t", "sh**", "f**k", "f***", "b**ch", "ab", "a*b", "cle*"}
+    want = {"sh*t": 1, "sh**": 2, "f**k": 1, "f***": 1, "b**ch": 1, "ab": 1, "a*b": 1, "cle*": 1}
+    assert toxicity._counter(known)(words) == want
+    rows = [(i, f"some plain words about weather number {i} " + "sh*t f**k " * (i % 2)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    got = toxicity.severities(docs, toxicity.train(docs, labels)).collect()
+    assert all(r.rejected == bool(r.doc_id % 2) for r in got)
+
+
 def test_severity_edges(spark):
     docs, none = odd_documents(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     blank = toxicity.train(docs, none)

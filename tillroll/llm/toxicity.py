@@ -102,8 +102,8 @@ def features_of(word: str) -> list[str]:
 def _counter(known: set[str]):
     """Counts of the known features in a list of words; most words are passed
     over by their first letters."""
-    heads = {f[:BEGINNINGS[0]].rstrip("*") for f in known}
     short = BEGINNINGS[0]
+    heads = {f[:short] for f in known}  # a beginning has at least so many letters before its star
 
     def count(words: list[str]) -> Counter:
         return Counter(f for w in words if w[:short] in heads for f in features_of(w) if f in known)
@@ -160,7 +160,7 @@ def _marks(sample: DataFrame, n1: int, n0: int, vocabulary: int, least_g: float)
     )
     chosen: dict[str, tuple] = {}
     for r in rows:
-        stem, counts = r["feature"].rstrip("*"), (r["k1"], r["k0"], r["odds"])
+        stem, counts = r["feature"].removesuffix("*"), (r["k1"], r["k0"], r["odds"])
         shorter = any(chosen.get(stem[:k] + "*", (0, 0, 0.0))[2] >= 0.5 * r["odds"] for k in range(1, len(stem) + 1))
         if not shorter and not any(c.startswith(stem) and chosen[c] == counts for c in chosen):
             chosen[r["feature"]] = counts
