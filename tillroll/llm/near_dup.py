@@ -17,7 +17,7 @@
 5. Rows of a run of equal ``min_depth`` prefixes that is longer than the window
    (a crowd) may have links that the window does not reach. They are joined
    exactly on the rarest shingles of their sets (two sets at the threshold share
-   one of them), leaving out pairs inside one component: first each row with the
+   one of them; so the window only offers next neighbours there), leaving out pairs inside one component: first each row with the
    most typical row of a shingle, then, over what is still apart, all rows.
 
 A lone pair at the threshold is a candidate in a tree with odds of about 0.6, in
@@ -166,16 +166,19 @@ def candidates(classes: DataFrame, hashes: int, trees: int, depth: int, sketch:
             near = np.concatenate([near, np.hstack([tree, prefix.astype(np.uint32)])])
             low = np.concatenate([low, np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint8).reshape(n, sketch)])
             a, b = [], []
+            far = np.flatnonzero((near[window:, :1 + min_depth] == near[:-window, :1 + min_depth]).all(axis=1)) if len(ids) > window else np.empty(0, np.int64)
+            crowded = np.zeros(len(ids), bool)
+            for end in (far, far + window):
+                crowded[end] = True
+                a.append(ids[end]), b.append(ids[end])
             for o in range(1, window + 1):
                 lo = max(0, old - o)
                 level = 1 + min(deepest, min_depth + (o - 1).bit_length() // 2)
                 same = np.flatnonzero((near[lo + o:, :level] == near[lo:len(ids) - o, :level]).all(axis=1)) + lo
+                if o > 2:  # two rows of crowds are joined exactly later
+                    same = same[~(crowded[same] & crowded[same + o])]
                 same = same[(low[same] == low[same + o]).mean(axis=1) >= least]
                 a.append(ids[same]), b.append(ids[same + o])
-            lo = max(0, old - window)
-            far = np.flatnonzero((near[lo + window:, :1 + min_depth] == near[lo:len(ids) - window, :1 + min_depth]).all(axis=1)) + lo
-            for end in (ids[far], ids[far + window]):
-                a.append(end), b.append(end)
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
