@@ -6,18 +6,12 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-if ROOT not in sys.path:
-    sys.path.insert(0, ROOT)
+HERE = os.path.dirname(os.path.abspath(__file__))
+for path in (HERE, os.path.dirname(HERE)):
+    if path not in sys.path:
+        sys.path.insert(0, path)
 
 from tillroll import local_session  # noqa: E402
-from tillroll.operators import bronze as B  # noqa: E402
-from tillroll.operators import silver as S  # noqa: E402
-from tillroll.sources.schema import RAW_SCHEMA  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-INGESTED = "2011-01-01 00:00:00"
 
 
 @pytest.fixture(scope="session")
@@ -26,20 +20,3 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-test-ckpt-"))
     yield s
-
-
-def raw_df(spark, rows):
-    """Raw invoice lines from tuples in RAW_SCHEMA order (missing trailing
-    fields are NULL)."""
-    width = len(RAW_SCHEMA.fields)
-    padded = [tuple(r) + (None,) * (width - len(r)) for r in rows]
-    return spark.createDataFrame(padded, RAW_SCHEMA)
-
-
-def clean_of(spark, rows):
-    return S.clean_transactions(B.add_lineage(raw_df(spark, rows), ingested_at=INGESTED))
-
-
-def line(inv="1001", code="A1", desc="thing", qty=1, date="12/1/2010 8:26", price=2.0,
-         cust="17850", country="UK"):
-    return (inv, code, desc, qty, date, price, cust, country)

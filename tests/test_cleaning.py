@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import clean_of, line, raw_df
+from helpers import clean_of, line, raw_df
 from tillroll.functions import columns as C
 from tillroll.operators import bronze as B
 from tillroll.operators import silver as S

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL, clean_of, line
+from helpers import SF_SMALL, clean_of, line
 from tillroll.operators import features as FE
 from tillroll.operators.silver import valid_sales
 from tillroll.plans.registry import clean_df

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from conftest import SF_SMALL, line, raw_df
+from helpers import SF_SMALL, line, raw_df
 from tillroll.operators.bronze import ingest_transactions
 from tillroll.plans.pipeline import run_pipeline
 from tillroll.sources import io

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, clean_of, line
+from helpers import SF_SMALL, clean_of, line
 from tillroll.operators import gold as G
 from tillroll.operators import serving as SV
 from tillroll.plans.registry import AS_OF, clean_df, round_doubles

@@ -9,7 +9,7 @@ import os
 import pytest
 from pyspark.sql.types import DoubleType
 
-from conftest import ROOT, SF_SMALL
+from helpers import ROOT, SF_SMALL
 from oracle_check import compare, duck
 from tillroll.plans.registry import REGISTRY
 

@@ -3,7 +3,7 @@ a hot-key fixture where one customer holds a third of all lines."""
 
 from __future__ import annotations
 
-from conftest import SF_SMALL, clean_of, line
+from helpers import SF_SMALL, clean_of, line
 from tillroll.operators import features as FE
 from tillroll.operators import gold as G
 from tillroll.plans.registry import AS_OF, clean_df

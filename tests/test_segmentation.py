@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tillroll.operators import features as FE
 from tillroll.operators import segmentation as SG
 from tillroll.operators import serving as SV
