@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chunks, licenses, near_dup, packing, pii, sharding, token_files, toxicity, vectors
+from tillroll.llm import chunks, licenses, manifest, near_dup, packing, pii, sharding, token_files, toxicity, vectors
 from tillroll.llm.common import table
 from tillroll.session import ensure_checkpoint_dir
 
@@ -61,6 +61,11 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.forest_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_slot_pivot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return manifest.audit(docs, manifest.lowered_where_third(docs))
+
+
 OP8_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e, len(embedding) AS dim FROM embeddings
@@ -94,9 +99,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_ordinal_toxicity": op9_ordinal_toxicity,
         "op10_projection_forest": op10_projection_forest,
+        "op11_slot_pivot_manifest": op11_slot_pivot_manifest,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_top_k": OP8_SQL}
+    return {"op8_exact_top_k": OP8_SQL, "op11_slot_pivot_manifest": manifest.AUDIT_SQL}
