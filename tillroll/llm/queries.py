@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chunks, licenses, manifest, near_dup, packing, pii, sharding, token_files, toxicity, vectors
+from tillroll.llm import (
+    alignment, chunks, licenses, manifest, near_dup, packing, piece_counts, pii, sharding, token_files, toxicity, vectors,
+)
 from tillroll.llm.common import table
 from tillroll.session import ensure_checkpoint_dir
 
@@ -66,6 +68,14 @@ def op11_slot_pivot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(docs, manifest.lowered_where_third(docs))
 
 
+def op12_pre_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts.token_counts(table(spark, sf_dir, "documents"), limit=4096)
+
+
+def op13_byte_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_counts(table(spark, sf_dir, "documents"))
+
+
 OP8_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e, len(embedding) AS dim FROM embeddings
@@ -100,6 +110,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ordinal_toxicity": op9_ordinal_toxicity,
         "op10_projection_forest": op10_projection_forest,
         "op11_slot_pivot_manifest": op11_slot_pivot_manifest,
+        "op12_pre_token_counts": op12_pre_token_counts,
+        "op13_byte_alignment": op13_byte_alignment,
         "pipeline": pipeline,
     }
 
