@@ -1,8 +1,10 @@
-"""Customer segmentation with Spark ML K-Means: F1-F12, A9.
+"""Customer segmentation with K-Means: F1-F12, A9.
 
 Training data is the customer feature table (one row per customer/country).
-K-Means' result depends on how rows are partitioned (k-means|| sampling is per
-partition), so the input layout is pinned before every fit: a fixed number of
+The default fit is ``operators.kmeans``: aggregates whose result depends on the rows
+alone. Spark ML's K-Means is the other choice (``method="ml"``); its result
+depends on how rows are partitioned (k-means|| sampling is per
+partition), so its input layout is pinned before every fit: a fixed number of
 hash partitions on CustomerID, sorted within each. The prepared rows are first
 written as a table under the session's reliable checkpoint directory, which
 cuts the lineage the iterative fits would otherwise re-run (and survives a
@@ -20,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators import kmeans
 from tillroll.session import materialize
 
 # The features used for clustering, in vector order.
@@ -108,10 +111,21 @@ def assign_to_centres(scaled: DataFrame, centres: dict[str, list[float]]) -> Dat
     return scaled.withColumn("cluster_id", nearest.cast("int")).drop(*[c for c in scaled.columns if c.endswith("_scaled")])
 
 
-def k_sweep(prepared: DataFrame, feature_cols=None, k_values=range(2, 11),
-            max_iter: int = SWEEP_ITER, seed: int = SEED) -> DataFrame:
-    """training cost for each k (same scaling for all). Returns a table
-    (k, cost); the choice of k is left to the caller."""
+def k_sweep(prepared: DataFrame, feature_cols=None, k_values=range(2, 11), max_iter: int = SWEEP_ITER) -> DataFrame:
+    """every k fitted side by side, one scan per iteration for all of them:
+    (k, cost, silhouette, chord_gap, is_knee, is_widest). ``recommended_k`` picks."""
+    return kmeans.sweep(prepared, list(feature_cols or FEATURE_COLUMNS), list(k_values), max_iter)
+
+
+def recommended_k(costs: DataFrame) -> int:
+    """The k at the knee of the cost curve."""
+    row = costs.where("is_knee").first()
+    return row.k if row else DEFAULT_K
+
+
+def ml_sweep(prepared: DataFrame, feature_cols=None, k_values=range(2, 11),
+             max_iter: int = SWEEP_ITER, seed: int = SEED) -> DataFrame:
+    """F4 with Spark ML, one fit after another: a table (k, cost)."""
     cols = list(feature_cols or FEATURE_COLUMNS)
     spark = prepared.sparkSession
     assembled = _assembler(cols).transform(prepared)
@@ -131,7 +145,7 @@ def k_sweep(prepared: DataFrame, feature_cols=None, k_values=range(2, 11),
 def train_kmeans(prepared: DataFrame, feature_cols=None, k: int = DEFAULT_K,
                  max_iter: int = TRAIN_ITER, seed: int = SEED,
                  extra_seeds: tuple[int, ...] = ()) -> PipelineModel:
-    """assemble -> standard-scale -> K-Means(k) pipeline.
+    """F2+F3+F5 with Spark ML: assemble -> standard-scale -> K-Means(k) pipeline.
 
     With ``extra_seeds`` the K-Means stage is also fitted from those seeds on
     the same scaled rows and the fit with the lowest training cost is kept."""
@@ -153,8 +167,18 @@ def train_kmeans(prepared: DataFrame, feature_cols=None, k: int = DEFAULT_K,
     return PipelineModel(stages=[*prep.stages, best])
 
 
-def assign_clusters(prepared: DataFrame, model: PipelineModel) -> DataFrame:
+def fit(prepared: DataFrame, feature_cols=None, k: int = DEFAULT_K, max_iter: int = TRAIN_ITER,
+        method: str = "lloyd") -> kmeans.Centres | PipelineModel:
+    """``lloyd`` (aggregates, the same on every layout) or ``ml``."""
+    if method == "ml":
+        return train_kmeans(prepared, feature_cols, k, max_iter)
+    return kmeans.fit(prepared, list(feature_cols or FEATURE_COLUMNS), k, max_iter)
+
+
+def assign_clusters(prepared: DataFrame, model: kmeans.Centres | PipelineModel) -> DataFrame:
     """+ cluster_id."""
+    if isinstance(model, kmeans.Centres):
+        return kmeans.assign(prepared, model)
     return model.transform(prepared).drop("features_raw", "features")
 
 
@@ -215,33 +239,49 @@ def model_metadata(spark: SparkSession, k: int, feature_cols=None) -> DataFrame:
     )
 
 
-def save_model(model: PipelineModel, path: str, k: int, feature_cols=None) -> str:
-    """Fitted pipeline (overwrite) + metadata next to it."""
+def save_model(model: kmeans.Centres | PipelineModel, path: str, k: int, feature_cols=None) -> str:
+    """The model (overwrite) + metadata next to it."""
     spark = SparkSession.getActiveSession()
-    model.write().overwrite().save(os.path.join(path, "kmeans_pipeline"))
+    if isinstance(model, kmeans.Centres):
+        kmeans.save(model, spark, os.path.join(path, "centres"))
+    else:
+        model.write().overwrite().save(os.path.join(path, "kmeans_pipeline"))
     model_metadata(spark, k, feature_cols).write.mode("overwrite").json(
         os.path.join(path, "metadata")
     )
     return path
 
 
+def load_model(spark: SparkSession, path: str, method: str = "lloyd") -> kmeans.Centres | PipelineModel:
+    """A saved model, ready for ``assign_clusters`` on any prepared rows."""
+    if method == "ml":
+        return PipelineModel.load(os.path.join(path, "kmeans_pipeline"))
+    return kmeans.load(spark, os.path.join(path, "centres"))
+
+
 def segment(cf: DataFrame, k: int = DEFAULT_K, feature_cols=None, partitions: int = LAYOUT_PARTITIONS,
-            checkpoint: bool = True):
-    """F1 -> pin -> F5 -> F6 -> F9: returns (model, segmented DataFrame)."""
-    prepared = pin_layout(prepare_features(cf, feature_cols), partitions, checkpoint)
-    model = train_kmeans(prepared, feature_cols, k=k)
+            checkpoint: bool = True, method: str = "lloyd"):
+    """F1 -> F5 -> F6 -> F9: returns (model, segmented DataFrame). Spark ML's
+    layout is pinned to ``partitions``; the aggregates need none."""
+    prepared = prepare_features(cf, feature_cols)
+    if method == "ml":
+        prepared = pin_layout(prepared, partitions, checkpoint)
+    elif checkpoint:
+        prepared = materialize(prepared, "kmeans_input")
+    model = fit(prepared, feature_cols, k=k, method=method)
     return model, assign_segments(assign_clusters(prepared, model))
 
 
-def run_segmentation(cf: DataFrame, k: int = DEFAULT_K, sweep=range(2, 11), feature_cols=None,
-                     model_path: str | None = None):
-    """prepare, sweep k (costs only), train with ``k``, name segments,
-    profile them, save model. Returns (segments, profiles, costs)."""
+def run_segmentation(cf: DataFrame, k: int | None = DEFAULT_K, sweep=range(2, 11), feature_cols=None,
+                     model_path: str | None = None, method: str = "lloyd"):
+    """prepare, sweep k, train with ``k`` (None: the sweep's knee), name
+    segments, profile them, save model. Returns (segments, profiles, costs)."""
     prepared = pin_layout(prepare_features(cf, feature_cols))
-    costs = k_sweep(prepared, feature_cols, k_values=sweep) if sweep else None
-    model = train_kmeans(prepared, feature_cols, k=k)
+    costs = materialize(k_sweep(prepared, feature_cols, k_values=sweep), "k_sweep") if sweep else None
+    if k is None:
+        k = recommended_k(costs) if sweep else DEFAULT_K
+    model = fit(prepared, feature_cols, k=k, method=method)
     segmented = assign_segments(assign_clusters(prepared, model))
     if model_path:
         save_model(model, model_path, k, feature_cols)
     return customer_segments(segmented), segment_profiles(segmented), costs
-

@@ -379,6 +379,86 @@ csegs AS (
   FROM clustered c JOIN cnames n ON c.cluster_id = n.cluster_id
 )"""
 
+# The features used for clustering, in vector order.
+KMEANS_FEATURES = [
+    "recency_days", "frequency", "monetary", "avg_transaction_value", "unique_products", "customer_age_days_fe",
+    "engagement_score_fe", "spending_last_30_days", "spending_last_90_days",
+]
+
+# K-Means in SQL: maximin seeds and Lloyd rounds as recursive tables over points in
+# fixed point (whole millionths of a standard deviation).
+UNITS = 1_000_000
+
+
+def _squares(x: str, c: str, n: int) -> str:
+    return " + ".join(f"({x}[{i}] - {c}[{i}]) * ({x}[{i}] - {c}[{i}])" for i in range(1, n + 1))
+
+
+def kmeans_layers(features, ks, rounds: int, name: str) -> str:
+    """``<name>``: (k, cs), the centres of every k after at most ``rounds`` rounds."""
+    n, top = len(features), max(ks)
+    whole = ", ".join(
+        f"coalesce(CAST(floor(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0) * {UNITS} + 0.5) AS BIGINT), 0)::DOUBLE"
+        for c in features)
+    means = ", ".join(f"sum(x[{i}]::BIGINT)::DOUBLE / count(*)::DOUBLE" for i in range(1, n + 1))
+    near = f"list_transform(cs, lambda c: {_squares('x', 'c', n)})"
+    return f"""prep AS MATERIALIZED (SELECT * FROM cf WHERE frequency > 0 AND monetary > 0),
+points AS MATERIALIZED (SELECT CustomerID, Country, [{whole}] AS x FROM prep),
+seeds AS (
+  SELECT 1 AS i, [first(x ORDER BY {_squares('x', str([0.0] * n), n)}, CustomerID, Country)] AS cs FROM points
+  UNION ALL
+  SELECT any_value(i) + 1, list_append(any_value(cs), first(x ORDER BY list_min({near}) DESC, CustomerID, Country))
+  FROM seeds CROSS JOIN points WHERE i < {top} HAVING count(*) > 0
+),
+rounds AS (
+  SELECT 0 AS i, k, cs[1:k] AS cs, false AS still FROM (SELECT cs FROM seeds WHERE i = {top}) CROSS JOIN (SELECT unnest({list(ks)}) AS k)
+  UNION ALL
+  SELECT i + 1, k, new, new = cs FROM (
+    SELECT *, list_transform(range(1, k + 1), lambda j: coalesce(m[j], cs[j])) AS new FROM (
+      SELECT any_value(i) AS i, k, any_value(cs) AS cs, map(list(j), list(c)) AS m
+      FROM (SELECT any_value(i) AS i, k, any_value(cs) AS cs, j, [{means}] AS c
+            FROM (SELECT r.*, x, list_position({near}, list_min({near})) AS j FROM rounds r CROSS JOIN points WHERE i < {rounds} AND NOT still)
+            GROUP BY k, j)
+      GROUP BY k))
+),
+{name} AS MATERIALIZED (SELECT k, arg_max(cs, i) AS cs FROM rounds GROUP BY k)"""
+
+
+def k_sweep_layers(features, ks, rounds: int) -> str:
+    n = len(features)
+    near = f"list_sort(list_transform(cs, lambda c: {_squares('x', 'c', n)}))"
+    return kmeans_layers(features, ks, rounds, "swept") + f""",
+rated AS (SELECT k, {near} AS d FROM swept CROSS JOIN points),
+curve AS (
+  SELECT CAST(k AS INTEGER) AS k, sum(d[1]) / {UNITS}::DOUBLE / {UNITS}::DOUBLE AS cost,
+    avg(coalesce((sqrt(d[2]) - sqrt(d[1])) / nullif(greatest(sqrt(d[1]), sqrt(d[2])), 0), 0)) AS silhouette FROM rated GROUP BY k
+),
+ends AS (SELECT min(k) AS k0, max(k) AS k1, min(cost) AS c0, max(cost) AS c1, arg_min(cost, k) AS c_first, arg_max(cost, k) AS c_last FROM curve),
+gaps AS (
+  SELECT k, cost, silhouette,
+    coalesce((c_first + (c_last - c_first) * (k - k0) / (k1 - k0) - cost) / nullif(c1 - c0, 0), 0) AS chord_gap FROM curve CROSS JOIN ends
+),
+ksweep AS (
+  SELECT *, k = first_value(k) OVER (ORDER BY round(chord_gap, 9) DESC, k) AS is_knee,
+    k = first_value(k) OVER (ORDER BY round(silhouette, 9) DESC, k) AS is_widest FROM gaps
+)"""
+
+
+def segment_layers(features, k: int, rounds: int) -> str:
+    """``ksegs``: customers with the segment of their cluster."""
+    n = len(features)
+    near = f"list_transform(cs, lambda c: {_squares('x', 'c', n)})"
+    return kmeans_layers(features, [k], rounds, "fitted") + f""",
+kclustered AS MATERIALIZED (
+  SELECT p.*, CAST(list_position({near}, list_min({near})) - 1 AS INTEGER) AS cluster_id
+  FROM prep p JOIN points q ON p.CustomerID = q.CustomerID AND p.Country = q.Country CROSS JOIN fitted
+),
+""" + SEGMENT_NAMES.format(names="knames", source="kclustered", out="ksegs")
+
+
+SEGMENT_NAMES = CENTRE_SEGMENTS[CENTRE_SEGMENTS.index("cnames AS"):].replace(
+    "cnames", "{names}").replace("clustered", "{source}").replace("csegs", "{out}")
+
 # Layer dependencies (each layer lists what it needs before it).
 _LAYERS = {
     "raw": (RAW, []),
@@ -392,6 +472,8 @@ _LAYERS = {
     "country": (COUNTRY, ["clean"]),
     "cf": (CUSTOMER_FEATURES, ["c360"]),
     "csegs": (CENTRE_SEGMENTS, ["cf"]),
+    "ksweep": (k_sweep_layers(KMEANS_FEATURES, range(2, 11), 20), ["cf"]),
+    "ksegs": (segment_layers(KMEANS_FEATURES, 5, 100), ["cf"]),
     "pf": (PRODUCT_FEATURES, ["pm"]),
     "tf": (TRANSACTION_FEATURES, ["clean"]),
 }
@@ -408,7 +490,7 @@ def _resolve(layer: str, seen: list[str]) -> None:
 def with_layers(layer: str, select: str) -> str:
     order: list[str] = []
     _resolve(layer, order)
-    return "WITH " + ",\n".join(_LAYERS[name][0] for name in order) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(_LAYERS[name][0] for name in order) + "\n" + select
 
 
 def rounded(select_sql: str, doubles: list[str], places: int = PLACES) -> str:

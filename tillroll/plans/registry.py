@@ -131,6 +131,12 @@ PF_DOUBLES = PM_DOUBLES + ["avg_price_fe", "price_volatility", "popularity_score
                            "velocity_score", "customer_concentration"]
 TF_DOUBLES = CLEAN_DOUBLES + FE.CUSTOMER_STATS + ["price_zscore", "quantity_zscore"]
 
+SEGMENT_DOUBLES = ["monetary", "avg_transaction_value", "engagement_score_fe"]
+PROFILE_DOUBLES = ["avg_recency_days", "avg_frequency", "avg_monetary", "avg_transaction_value", "avg_unique_products",
+                   "avg_engagement_score_fe"]
+#: the segment that the detail queries show
+SHOWN_SEGMENT = "At Risk"
+
 _NF = "NULLS FIRST"
 SAMPLE_ORDER = ", ".join(f"{c} ASC {_NF}" for c in B.SAMPLE_COLUMNS)
 
@@ -277,15 +283,30 @@ def _registry() -> dict[str, Query]:
         lambda s, d: FE.transaction_features(stored_clean_df(s, d)),
         w("tf", "SELECT * FROM tf"), TF_DOUBLES, "E23-E27")
 
-    # ---- segmentation (F1 is SQL; K-Means outputs are checked by row count)
+    # ---- segmentation
+    profiles = ("SELECT segment_name, count(CustomerID) AS customer_count, avg(recency_days) AS avg_recency_days, "
+                "avg(frequency) AS avg_frequency, avg(monetary) AS avg_monetary, "
+                "avg(avg_transaction_value) AS avg_transaction_value, avg(unique_products) AS avg_unique_products, "
+                "avg(engagement_score_fe) AS avg_engagement_score_fe FROM {} GROUP BY segment_name")
+    summary = (f"SELECT segment_name, count(*) AS customer_count, {O.r('sum(monetary)')} AS total_revenue, "
+               f"{O.r('avg(frequency)')} AS avg_frequency FROM {{}} GROUP BY segment_name")
+    names = "SELECT DISTINCT segment_name FROM {}"
+    detail = (f"SELECT segment_name, count(*) AS customer_count, {O.r('avg(recency_days)')} AS avg_recency, "
+              f"{O.r('avg(frequency)')} AS avg_frequency, {O.r('avg(monetary)')} AS avg_monetary, "
+              f"{O.r('sum(monetary)')} AS total_revenue FROM {{}} WHERE segment_name = '{SHOWN_SEGMENT}' GROUP BY segment_name")
+    customer = ("SELECT CustomerID AS customer_id, segment_name, cluster_id, recency_days, frequency, "
+                f"{O.r('monetary')} AS monetary, {O.r('s.avg_transaction_value')} AS avg_transaction_value FROM {{}} s "
+                "WHERE CustomerID = 1 ORDER BY cluster_id, s.avg_transaction_value, segment_name LIMIT 1")
     q["prepared_features"] = Query(
         lambda s, d: SG.prepare_features(cf_df(s, d)),
         w("cf", "SELECT * FROM cf WHERE frequency > 0 AND monetary > 0"), CF_DOUBLES, "F1")
     q["k_sweep"] = Query(
-        lambda s, d: SG.k_sweep(SG.pin_layout(SG.prepare_features(cf_df(s, d)))), survey="F2-F4")
-    q["customer_segments"] = Query(segments_df, survey="F5-F9 F11")
+        lambda s, d: SG.k_sweep(materialize(SG.prepare_features(cf_df(s, d)), "prepared")),
+        w("ksweep", "SELECT * FROM ksweep"), ["cost", "silhouette", "chord_gap"], "F2-F4")
+    q["customer_segments"] = Query(
+        segments_df, w("ksegs", "SELECT * FROM ksegs"), SEGMENT_DOUBLES, "F5-F9 F11")
     q["segment_profiles"] = Query(
-        lambda s, d: SG.segment_profiles(segmented_df(s, d)), survey="F10")
+        lambda s, d: SG.segment_profiles(segmented_df(s, d)), w("ksegs", profiles.format("ksegs")), PROFILE_DOUBLES, "F10")
 
     # the same operators over documented centres, which SQL reproduces
     q["scaled_features"] = Query(
@@ -294,35 +315,23 @@ def _registry() -> dict[str, Query]:
         [f"{c}_scaled" for c in SG.FEATURE_COLUMNS], "F2 F3")
     q["centre_segments"] = Query(
         centre_segments_df, w("csegs", "SELECT * FROM csegs"),
-        ["monetary", "avg_transaction_value", "engagement_score_fe"], "F6-F9 F11")
+        SEGMENT_DOUBLES, "F6-F9 F11")
     q["centre_profiles"] = Query(
-        lambda s, d: SG.segment_profiles(centre_segmented_df(s, d)),
-        w("csegs", "SELECT segment_name, count(CustomerID) AS customer_count, avg(recency_days) AS avg_recency_days, "
-                   "avg(frequency) AS avg_frequency, avg(monetary) AS avg_monetary, "
-                   "avg(avg_transaction_value) AS avg_transaction_value, avg(unique_products) AS avg_unique_products, "
-                   "avg(engagement_score_fe) AS avg_engagement_score_fe FROM csegs GROUP BY segment_name"),
-        ["avg_recency_days", "avg_frequency", "avg_monetary", "avg_transaction_value", "avg_unique_products",
-         "avg_engagement_score_fe"], "F10")
-    q["centre_segments_summary"] = Query(
-        lambda s, d: SV.segments_summary(centre_segments_df(s, d)),
-        w("csegs", f"SELECT segment_name, count(*) AS customer_count, {O.r('sum(monetary)')} AS total_revenue, "
-                   f"{O.r('avg(frequency)')} AS avg_frequency FROM csegs GROUP BY segment_name"),
-        ["total_revenue", "avg_frequency"], "G3")
-    q["centre_segment_names"] = Query(
-        lambda s, d: SV.list_segments(centre_segments_df(s, d)),
-        w("csegs", "SELECT DISTINCT segment_name FROM csegs"), [], "G4")
-    q["centre_segment_detail"] = Query(
-        lambda s, d: SV.segment_detail(centre_segments_df(s, d), "At Risk"),
-        w("csegs", f"SELECT segment_name, count(*) AS customer_count, {O.r('avg(recency_days)')} AS avg_recency, "
-                   f"{O.r('avg(frequency)')} AS avg_frequency, {O.r('avg(monetary)')} AS avg_monetary, "
-                   f"{O.r('sum(monetary)')} AS total_revenue FROM csegs WHERE segment_name = 'At Risk' GROUP BY segment_name"),
-        ["avg_recency", "avg_frequency", "avg_monetary", "total_revenue"], "G5")
-    q["centre_customer_segment"] = Query(
-        lambda s, d: SV.customer_segment(centre_segments_df(s, d), 1),
-        w("csegs", "SELECT CustomerID AS customer_id, segment_name, cluster_id, recency_days, frequency, "
-                   f"{O.r('monetary')} AS monetary, {O.r('avg_transaction_value')} AS avg_transaction_value FROM csegs "
-                   "WHERE CustomerID = 1 ORDER BY cluster_id, csegs.avg_transaction_value, segment_name LIMIT 1"),
-        ["monetary", "avg_transaction_value"], "G6")
+        lambda s, d: SG.segment_profiles(centre_segmented_df(s, d)), w("csegs", profiles.format("csegs")), PROFILE_DOUBLES, "F10")
+
+    # lookups over the segments of the fitted clusters and of the documented centres
+    for layer, prefix, source in (("ksegs", "", segments_df), ("csegs", "centre_", centre_segments_df)):
+        q[f"{prefix}segments_summary"] = Query(
+            lambda s, d, f=source: SV.segments_summary(f(s, d)), w(layer, summary.format(layer)),
+            ["total_revenue", "avg_frequency"], "G3")
+        q["centre_segment_names" if prefix else "list_segments"] = Query(
+            lambda s, d, f=source: SV.list_segments(f(s, d)), w(layer, names.format(layer)), [], "G4")
+        q[f"{prefix}segment_detail"] = Query(
+            lambda s, d, f=source: SV.segment_detail(f(s, d), SHOWN_SEGMENT), w(layer, detail.format(layer)),
+            ["avg_recency", "avg_frequency", "avg_monetary", "total_revenue"], "G5")
+        q[f"{prefix}customer_segment"] = Query(
+            lambda s, d, f=source: SV.customer_segment(f(s, d), 1), w(layer, customer.format(layer)),
+            ["monetary", "avg_transaction_value"], "G6")
 
     # ---- serving
     q["customer_overview"] = Query(
@@ -337,12 +346,6 @@ def _registry() -> dict[str, Query]:
         w("pm", "SELECT count(*) AS total_products, CAST(coalesce(sum(times_purchased), 0) AS BIGINT) AS total_transactions, "
                 f"{O.r('coalesce(avg(avg_price), 0)')} AS avg_product_price FROM pm"),
         ["avg_product_price"], "G2")
-    q["segments_summary"] = Query(lambda s, d: SV.segments_summary(segments_df(s, d)), survey="G3")
-    q["list_segments"] = Query(lambda s, d: SV.list_segments(segments_df(s, d)), survey="G4")
-    q["segment_detail"] = Query(
-        lambda s, d: SV.segment_detail(segments_df(s, d), "At Risk"), survey="G5")
-    q["customer_segment"] = Query(
-        lambda s, d: SV.customer_segment(segments_df(s, d), 1), survey="G6")
     q["revenue_trends"] = Query(
         lambda s, d: SV.revenue_trends(G.daily_aggregates(clean_df(s, d))),
         w("daily", "SELECT date, sum(total_revenue) AS total_revenue, "
