@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from helpers import SF_SMALL, line, raw_df
+from tillroll.operators import segmentation as SG
 from tillroll.operators.bronze import ingest_transactions
 from tillroll.plans.pipeline import run_pipeline
 from tillroll.sources import io
@@ -64,8 +65,8 @@ def test_partitioned_files_follow_the_data(spark):
 def test_partitioned_table_round_trip(spark):
     base = tempfile.mkdtemp(prefix="tillroll-tbl-")
     df = spark.createDataFrame([(2010, 12, 1.0), (2011, 1, 2.0)], "year int, month int, v double")
-    io.write_table(df, base, "gold", "daily_aggregates")
-    assert os.path.isdir(os.path.join(base, "gold", "daily_aggregates", "year=2010"))
+    stored = io.write_table(df, base, "gold", "daily_aggregates")
+    assert os.path.isdir(os.path.join(stored, "year=2010"))
     back = io.read_table(spark, base, "gold", "daily_aggregates")
     assert sorted((r.year, r.month, r.v) for r in back.collect()) == [(2010, 12, 1.0), (2011, 1, 2.0)]
     pruned = back.where("year = 2011")
@@ -84,7 +85,11 @@ def test_pipeline_end_to_end(spark):
     assert len(read("feature_store", "transaction_features").columns) == 31
     assert read("gold", "customer_segments").count() > 0
     assert read("models", "k_sweep").count() == 2
-    assert os.path.isdir(os.path.join(base, "models", "segmentation", "kmeans_pipeline"))
+    # the saved model, loaded again, gives the stored clusters
+    model = SG.load_model(spark, os.path.join(base, "models", "segmentation"))
+    scored = SG.assign_clusters(SG.prepare_features(read("feature_store", "customer_features")), model)
+    pairs = ["CustomerID", "cluster_id", "avg_transaction_value"]
+    assert sorted(scored.select(*pairs).collect()) == sorted(read("gold", "customer_segments").select(*pairs).collect())
     # a later run may skip ingestion and redo one step from stored tables
     again = run_pipeline(spark, base, steps=["gold"], skip_bronze=True, as_of="2001-08-01")
     assert list(again) == ["gold"]

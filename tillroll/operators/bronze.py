@@ -26,12 +26,14 @@ def add_lineage(
     """B1+B2: raw lines + ingestion_timestamp, source_file, bronze_layer_version,
     record_hash (12 columns; a reader's corrupt-record text is kept as a 13th).
     ``ingested_at`` fixes the load time (default: now), ``source_file`` names the
-    source (default: the file each line was read from)."""
+    source (default: the file each line was read from, or the reader's own
+    ``source_file``)."""
+    named = F.col("source_file") if "source_file" in raw.columns else F.input_file_name()
     corrupt = [CORRUPT_COLUMN] if CORRUPT_COLUMN in raw.columns else []
     return raw.select(
         *RAW_COLUMNS,
         _ts_literal(ingested_at).alias("ingestion_timestamp"),
-        (F.input_file_name() if source_file is None else F.lit(source_file)).alias("source_file"),
+        (named if source_file is None else F.lit(source_file)).alias("source_file"),
         F.lit(version).alias("bronze_layer_version"),
         record_hash(hash_keys).alias("record_hash"),
         *corrupt,

@@ -13,6 +13,8 @@ Shape of each mart at scale:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,13 +45,14 @@ PERFORMANCE_DEFAULT = "Underperformers"
 
 # ------------------------------------------------------------ customer grain
 
-def customer_country_stats(clean: DataFrame) -> DataFrame:
-    """One pass over valid known-customer lines per (CustomerID, Country).
+def customer_country_stats(clean: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One pass over valid known-customer lines per (CustomerID, Country), and per
+    the further keys ``by`` (parts that ``plans.refresh`` merges).
 
     Holds the silver profile columns plus decomposable pieces (counts, sums,
     min/max) from which every per-customer gold figure is rolled up."""
     v = valid_sales(clean, known_customer=True)
-    return v.groupBy("CustomerID", "Country").agg(
+    return v.groupBy("CustomerID", "Country", *by).agg(
         F.min("invoice_datetime").alias("first_purchase_date"),
         F.max("invoice_datetime").alias("last_purchase_date"),
         F.count("InvoiceNo").alias("total_transactions"),
@@ -161,7 +164,8 @@ def rfm_table(clean: DataFrame, k: int = 5, num_partitions: int | None = None) -
     return scored.select("CustomerID", *RFM_COLUMNS)
 
 
-def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None) -> DataFrame:
+def customer_360(clean: DataFrame | None, as_of=None, num_partitions: int | None = None,
+                 cc: DataFrame | None = None) -> DataFrame:
     """Silver customers (grain CustomerID, Country) + RFM, behaviour,
     diversity, temporal figures per CustomerID (29 columns).
 
@@ -169,9 +173,12 @@ def customer_360(clean: DataFrame, as_of=None, num_partitions: int | None = None
     is materialised (a table in the checkpoint directory: it is read by the profile side and by
     the per-customer rollup); the per-customer table is derived from it and
     joined back once (a multi-country customer gets the same figures on each
-    of its rows, as in the reference)."""
-    cc = materialize(customer_country_stats(clean), "customer_country")
-    per = rfm_scores(with_recency(customer_rollup(cc)), num_partitions=num_partitions)
+    of its rows, as in the reference). ``cc`` is a stored ``customer_country_stats``.
+    The per-customer table is stored too: the ranking and the output read it."""
+    if cc is None:
+        cc = materialize(customer_country_stats(clean), "customer_country")
+    per = materialize(with_recency(customer_rollup(cc)), "per_customer")
+    per = rfm_scores(per, num_partitions=num_partitions)
     per = per.select("CustomerID", *(CUSTOMER_360_COLUMNS[len(PROFILE_COLUMNS):]))
     profile = customer_profile_columns(cc, as_of=as_of)
     return profile.join(per, "CustomerID", "left").select(*CUSTOMER_360_COLUMNS)
@@ -221,13 +228,13 @@ def segment_distribution(c360: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- product grain
 
-def product_line_stats(clean: DataFrame) -> DataFrame:
-    """One pass over valid lines per (StockCode, Description): silver catalog
+def product_line_stats(clean: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One pass over valid lines per (StockCode, Description) and ``by``: silver catalog
     columns + pieces for the per-StockCode rollups (performance, popularity):
     counts, sums and the within-group second moment of UnitPrice."""
     v = valid_sales(clean)
     n_unit = F.count("UnitPrice")
-    return v.groupBy("StockCode", "Description").agg(
+    return v.groupBy("StockCode", "Description", *by).agg(
         F.count("InvoiceNo").alias("times_purchased"),
         F.sum("Quantity").alias("total_quantity_sold"),
         F.avg("UnitPrice").alias("avg_price"),
@@ -294,7 +301,8 @@ def product_metrics(clean: DataFrame | None, pls: DataFrame | None = None) -> Da
         catalog, perf, "StockCode",
         {"total_revenue_gold": "total_revenue", "total_quantity_gold": "total_quantity_sold"},
     )
-    return performance_category(joined).select(*PRODUCT_METRICS_COLUMNS)
+    # stored once: the quantiles and the bands read it
+    return performance_category(materialize(joined, "product_metrics")).select(*PRODUCT_METRICS_COLUMNS)
 
 
 def replace_columns_join(left: DataFrame, right: DataFrame, key: str,
@@ -336,6 +344,7 @@ def daily_sales(clean: DataFrame) -> DataFrame:
         F.avg("total_price").alias("avg_transaction_value"),
         F.sum("Quantity").alias("total_items_sold"),
         F.count("StockCode").alias("unique_products_sold"),
+        F.count("total_price").alias("_n_price"),
     )
 
 
@@ -369,7 +378,12 @@ def moving_averages(daily: DataFrame) -> DataFrame:
 
 def daily_aggregates(clean: DataFrame) -> DataFrame:
     """Daily sales (D17) + calendar (D18) + moving averages (D19), 15 columns."""
-    return moving_averages(daily_calendar(daily_sales(clean))).select(*DAILY_COLUMNS)
+    return daily_mart(daily_sales(clean))
+
+
+def daily_mart(daily: DataFrame) -> DataFrame:
+    """D18 + D19 over a stored ``daily_sales``."""
+    return moving_averages(daily_calendar(daily)).select(*DAILY_COLUMNS)
 
 
 def recent_days(daily: DataFrame, n: int = 10) -> DataFrame:
@@ -395,7 +409,11 @@ def country_sales(clean: DataFrame) -> DataFrame:
 def country_analytics(clean: DataFrame) -> DataFrame:
     """Revenue share (%) of the grand total and revenue per
     customer row, both rounded to 2 places (9 columns)."""
-    cs = country_sales(clean)
+    return country_mart(country_sales(clean))
+
+
+def country_mart(cs: DataFrame) -> DataFrame:
+    """D23-D25 over ``country_sales``."""
     total = cs.agg(F.sum("total_revenue").alias("_tr_total"))
     return (
         cs.crossJoin(F.broadcast(total))

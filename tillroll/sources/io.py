@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tillroll.sources import versions, workbook
 from tillroll.sources.schema import CORRUPT_COLUMN, PARTITIONED_BY, RAW_SCHEMA
 
 DEFAULT_FORMAT = "parquet"
@@ -29,8 +30,12 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool
     NaN or the text 'nan'; a line that does not fit it keeps its text in
     ``_corrupt_record`` (counted by ``bronze_quality``). ``multi_line`` reads
     cells with line breaks (a file is then one task). Parquet/ORC files are read
-    as stored and then conformed (missing raw columns become typed NULLs).
+    as stored and then conformed (missing raw columns become typed NULLs). ``xlsx``
+    reads a workbook or a folder of them, a task per sheet (``sources.workbook``).
     """
+    if fmt == "xlsx":
+        workbook.register(spark)
+        return spark.read.format(workbook.NAME).load(path)
     if fmt in ("csv", "json"):
         schema = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
         reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
@@ -71,20 +76,21 @@ def write_table(
     fmt: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] | None = None,
 ) -> str:
-    """A4/A5: full overwrite (schema replaced). Partitioned tables from
-    ``PARTITIONED_BY`` are written hive-style so readers prune partitions."""
+    """A4/A5: full overwrite (schema replaced), all at once: a new folder is filled
+    and then published (``sources.versions``), so a failed write leaves the old
+    table and a job may replace a table it reads. Partitioned tables from
+    ``PARTITIONED_BY`` are written hive-style so readers prune partitions.
+    Returns the folder that holds the rows; ``read_table`` finds the newest."""
     path = table_path(base, layer, name)
     cols = partition_by if partition_by is not None else PARTITIONED_BY.get((layer, name))
     if cols:
         # rows of a partition meet before the write: files follow the data's
         # size (AQE splits a big partition), not the number of tasks
         df = df.hint("rebalance", *cols)
-    writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    if cols:
-        writer = writer.partitionBy(*cols)
-    writer.save(path)
+    if fmt != "delta":
+        return versions.replace_table(df, path, cols or (), fmt)
+    writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    (writer.partitionBy(*cols) if cols else writer).save(path)
     return path
 
 
@@ -98,9 +104,12 @@ def write_partitioned(
 
 def read_table(spark: SparkSession, base: str, layer: str, name: str, fmt: str = DEFAULT_FORMAT,
                columns: Sequence[str] | None = None) -> DataFrame:
-    """Load a stored table. Partition columns come back last; ``columns``
-    puts them back in the declared order."""
-    df = spark.read.format(fmt).load(table_path(base, layer, name))
+    """Load a stored table (its newest version). Partition columns come back
+    last; ``columns`` puts them back in the declared order."""
+    path = table_path(base, layer, name)
+    df = versions.read_current(spark, path, fmt) if fmt != "delta" else None
+    if df is None:
+        df = spark.read.format(fmt).load(path)
     return df.select(*columns) if columns else df
 
 
