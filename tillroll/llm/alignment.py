@@ -10,9 +10,9 @@ token-group incidence matrices and their product give the shared-group links.
 Documents are encoded once, where they lie; what is stored of each is one row with
 its distinct id pairs and how often they are linked. The corpus-wide count of an
 id pair and the best count of each A id come from one aggregate over those pairs.
-The counts go back to the documents in two ways: pairs that make up at least one
-part in ``FREQUENT`` of all (document, pair) rows are at most ``FREQUENT`` and are
-broadcast, the others are joined by a shuffle in which no key is hot.
+The counts go back to the documents in two ways: the pairs of the most documents,
+at most ``FREQUENT`` of them, are broadcast, the others are joined by a shuffle in
+which no key holds more than 2 parts in ``FREQUENT`` of the rows.
 
 Edge cases: null and empty texts, and texts whose tokens' bytes are not the text's
 (such as those with U+2581), have no tokens, zeros and an empty digest; special
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.bpe import PieceEncoder
+from tillroll.llm.common import frequent as most_frequent
 from tillroll.llm.common import materialize, texts
 from tillroll.llm.piece_counts import SPACE, char_groups, model
 from tillroll.session import ensure_checkpoint_dir
@@ -42,8 +43,9 @@ from tillroll.session import ensure_checkpoint_dir
 ID_BITS = 20
 #: at most so many id pairs are broadcast (two longs and a flag each)
 FREQUENT = 200_000
-# products of shared-group links made at a time (memory only)
-BLOCK_PRODUCTS = 1 << 20
+# products of shared-group links made at a time, code points aligned at a time, pieces
+# a worker remembers (memory only)
+BLOCK_PRODUCTS, BATCH_CHARS, HELD_PIECES = 1 << 20, 150_000, 250_000
 
 ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_shared long, "
            "groups_sha256 string, links array<long>, times array<long>")
@@ -149,6 +151,11 @@ class PlainEncoder(PieceEncoder):
         self.tok.encode_special_tokens = True
         self.special = []
 
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.known) > HELD_PIECES:
+            self._reset()
+        return super().encode(texts)
+
 
 class Aligner:
     """Both encodings of batches of texts, and the bytes of their tokens."""
@@ -224,7 +231,7 @@ def link_rows(docs: DataFrame, kind: str = "overlap", a_path: str | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, _, group in char_groups(batch["text"]):
+            for begin, _, group in char_groups(batch["text"], BATCH_CHARS):
                 exact, got = aligner(a_path, b_path).align(group)
                 over = got.overlaps() if kind == "overlap" else None
                 doc_ids = batch["doc_id"].take(pa.array([begin + i for i in exact], pa.int64()))
@@ -244,7 +251,7 @@ def aligned_documents(docs: DataFrame, a_path: str | None = None, b_path: str |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for begin, end, group in char_groups(batch["text"]):
+            for begin, end, group in char_groups(batch["text"], BATCH_CHARS):
                 made = aligner(a_path, b_path)
                 exact, got = made.align(group)
                 n, over = end - begin, got.overlaps()
@@ -298,8 +305,8 @@ def alignment_counts(docs: DataFrame, a_path: str | None = None, b_path: str | N
     A id's best (``n_best``), and the sum of the links' counts (``count_sum``)."""
     aligned = aligned_documents(docs, a_path, b_path)
     rated = pair_counts(aligned)
-    bar = max(1, -(-(rated.agg(F.sum("docs")).first()[0] or 0) // frequent))  # at most `frequent` pairs have as many
-    common, rare = rated.filter(F.col("docs") >= bar), rated.filter(F.col("docs") < bar)
+    often = most_frequent(rated, "docs", frequent)
+    common, rare = rated.filter(often), rated.filter(~often)
     held = aligned.select("row", F.explode(F.arrays_zip("links", "times")).alias("at"))
     held = held.select("row", F.col("at.links").alias("link"), F.col("at.times").alias("times"))
     parts = [held.join(F.broadcast(common), "link"),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 
-__all__ = ["materialize", "table", "texts", "top_lists", "groups_for"]
+__all__ = ["materialize", "table", "texts", "top_lists", "groups_for", "frequent"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,3 +43,20 @@ def top_lists(lists: DataFrame, key: str, block: str, item: str, k: int, blocks:
         )
         blocks = math.ceil(blocks / fan_in)
     return lists.select(key, item)
+
+
+def frequent(counts: DataFrame, column: str, at_most: int) -> Column:
+    """Condition that marks the rows of ``counts`` with the largest values of
+    ``column`` (1 or more), at most ``at_most`` of them: a size bound for what is
+    broadcast, whatever the table's size. The values are counted in quarters of
+    octaves, so what is not marked holds less than 2 parts in ``at_most`` of
+    the column's sum. The histogram is a few hundred rows at most."""
+    step = F.floor(F.log2(F.col(column)) * 4)
+    steps = sorted(((r.step, r["count"]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
+    marked, lowest = 0, None
+    for value, rows in steps:
+        marked += rows
+        if marked > at_most:
+            break
+        lowest = value
+    return step >= lowest if lowest is not None else F.lit(False)

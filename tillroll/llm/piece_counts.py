@@ -9,13 +9,12 @@ counted once for the whole corpus:
 1. every task gives its pre-tokens with the number of documents that hold them,
    summed over the corpus: one row per distinct pre-token, whose pieces the
    library counts once. The table is stored.
-2. pre-tokens that make up at least one part in ``FREQUENT`` of all (document,
-   pre-token) rows are at most ``FREQUENT`` in number, however large the corpus.
-   Their counts are broadcast (keys of at most 64 characters: a proven bound), and
-   each document sums them where it lies.
+2. the pre-tokens of the most documents, at most ``FREQUENT`` of them however large
+   the corpus, have their counts broadcast (keys of at most 64 characters: a proven
+   bound), and each document sums them where it lies.
 3. the other (document, pre-token, frequency) rows are joined with the stored
    table by a shuffle and summed by document. As the frequent keys are gone,
-   no key of that join holds more than its part in ``FREQUENT`` of the rows.
+   no key of that join holds more than 2 parts in ``FREQUENT`` of the rows.
 
 Edge cases: null and empty texts have no tokens; a text of spaces counts as the
 library has it; U+2581 is a space to this model; control characters, special
@@ -37,12 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.bpe import vocabulary_path
+from tillroll.llm.common import frequent as most_frequent
 from tillroll.llm.common import materialize, texts
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: at most so many pre-tokens are broadcast
-FREQUENT = 100_000
+FREQUENT = 200_000
 #: longer pre-tokens are keyed by their digest
 KEY_CHARS = 64
 # entries a task sums up before it hands them on, code points cut at a time (memory only)
@@ -165,9 +165,8 @@ def token_counts(docs: DataFrame, limit: int = 4096, path: str | None = None, fr
     """One row per document: ``doc_id``, ``n_bytes`` (UTF-8), ``n_tokens`` and
     ``over_limit`` (more than ``limit`` tokens)."""
     spark, known = docs.sparkSession, vocabulary(docs, path)
-    total = known.agg(F.sum("rows")).first()[0] or 0
-    bar = max(1, -(-total // frequent))  # at most `frequent` keys have so many rows
-    common = spark.sparkContext.broadcast(dict(map(tuple, known.filter(F.col("rows") >= bar).select("key", "pieces").collect())))
+    often = most_frequent(known, "rows", frequent)
+    common = spark.sparkContext.broadcast(dict(map(tuple, known.filter(often).select("key", "pieces").collect())))
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get, row = common.value.get, TaskContext.get().partitionId() << 40
@@ -197,7 +196,7 @@ def token_counts(docs: DataFrame, limit: int = 4096, path: str | None = None, fr
     stored = materialize(sized.mapInArrow(
         summed, "row long, doc_id long, n_bytes long, in_common long, keys array<string>, times array<long>"), "pre-token-rows")
     rest = stored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("at")).select("row", "at.keys", "at.times")
-    rare = known.filter(F.col("rows") < bar).select(F.col("key").alias("keys"), "pieces")
+    rare = known.filter(~often).select(F.col("key").alias("keys"), "pieces")
     rest = rest.join(rare, "keys").groupBy("row").agg(F.sum(F.col("times") * F.col("pieces")).alias("in_rest"))
     n_tokens = F.col("in_common") + F.coalesce("in_rest", F.lit(0).cast("long"))
     return (stored.select("row", "doc_id", "n_bytes", "in_common").join(rest, "row", "left")
