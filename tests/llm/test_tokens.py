@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from odd import empty_documents, odd_documents
 from tillroll.llm import bpe, chunks, packing, token_files
@@ -88,7 +89,7 @@ def test_token_file_layout(spark, tmp_path):
 @pytest.mark.parametrize("rows", [odd_documents, empty_documents, None])
 def test_packing(spark, tok, rows):
     docs = rows(spark) if rows else table(spark, SMALL, "documents")
-    packed = packing.pack_documents(docs, group_pieces=32, fan_in=4).toPandas()
+    packed = packing.pack_documents(docs, group_pieces=32).toPandas()
     total = 0
     for _, s in packed.groupby("sequence_id"):
         s = s.sort_values("offset")
@@ -107,6 +108,47 @@ def test_packing(spark, tok, rows):
         assert packed["sequence_id"].nunique() == -(-total // 2048)
 
 
+def random_pieces(spark, n, parts, low=1, high=2048):
+    rng = np.random.default_rng(7)
+    sizes = np.minimum(rng.geometric(1 / 700, n) + low, high - 1).tolist()
+    rows = [(i, 0, 0, s, i, i) for i, s in enumerate(sizes)]
+    cut = spark.createDataFrame(rows, packing.PIECES).repartition(parts)
+    return sizes, materialize(cut.withColumn("unit", F.monotonically_increasing_id()))
+
+
+@pytest.mark.parametrize("n", [600, 20_000])
+def test_partitions_do_not_change_the_count(spark, n):
+    seen = set()
+    for parts in (1, 4, 32):
+        sizes, cut = random_pieces(spark, n, parts)
+        packed = packing.pack(cut, group_pieces=1000)
+        row = packed.agg(F.count_distinct("sequence_id"), F.count(F.lit(1)), F.sum("length")).first()
+        assert row[1:] == (n, sum(sizes))
+        assert packed.filter("group_bins < group_bound").count() == 0
+        seen.add(row[0])
+    bound = packing.lower_bound(np.array(sizes), 2048)
+    assert len(seen) == 1 and bound <= min(seen) <= bound * 1.001 + 1
+
+
+def test_large_and_small_pieces_meet(spark):
+    """Groups of large pieces need the small ones of others: bins of 2,048 from 1,500 + 548."""
+    rows = [(i, 0, 0, 1500 if i < 300 else 137, i, i) for i in range(1500)]
+    packed = packing.pack(materialize(spark.createDataFrame(rows, packing.PIECES)), group_pieces=40)
+    assert packed.select("sequence_id").distinct().count() == 300
+
+
+def test_exact_fill_and_tighten():
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        sizes = np.sort(rng.integers(1, 200, rng.integers(1, 80)))[::-1].copy()
+        bins, offsets, fill, bound = packing.pack_group(sizes, 256)
+        assert bound <= len(fill) <= len(packing.best_fit(sizes, 256)[2]) and fill.max() <= 256
+        for b in range(len(fill)):
+            at = np.flatnonzero(bins == b)
+            at = at[np.argsort(offsets[at])]
+            assert offsets[at].tolist() == [0, *np.cumsum(sizes[at])[:-1]] and sizes[at].sum() == fill[b] > 0
+
+
 def test_bounds_hold_and_certify():
     rng = np.random.default_rng(1)
     for _ in range(200):
