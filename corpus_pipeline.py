@@ -19,28 +19,38 @@ NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model, fitted on ``labels``, rejects go."""
+    """Documents that the severity model, fitted on ``labels``, rejects go. Null and
+    empty texts hold no marked words and stay, as do rows without an id; very long
+    texts are scored whole; repeated rows share their fate; other columns are kept
+    whatever their names; no rows: no rows."""
     return toxicity.reject_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the smallest ``doc_id`` stays; texts
     without words are no duplicates of anything. Rows that repeat a kept id and
-    its text stay as one; rows without an id cannot be told apart and all stay."""
+    its text stay as one; rows without an id cannot be told apart and all stay. Null
+    and empty texts stay; a very long text is one document like any other. Own
+    columns live beside the document, packed into one struct, so no column's name
+    can clash. No rows: no rows."""
     found = near_dup.near_duplicates(docs, percent=NEAR_PERCENT)
     kept = found.filter("kept").select("doc_id").distinct().hint("merge")
-    stays = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    stays = stays.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
-    return stays.unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+    packed = docs.select("doc_id", F.xxhash64("text").alias("digest"), F.struct(*docs.columns).alias("whole"))
+    stays = packed.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "digest"])
+    return stays.unionByName(packed.filter("doc_id IS NULL")).select("whole.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind; every document stays."""
+    """Personal data is replaced by its kind; every document stays. A null text stays
+    null and an empty one empty; very long texts are searched whole; repeated rows
+    are redacted alike; other columns are kept whatever their names; no rows: no rows."""
     return pii.redact(docs, pii.train(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents packed into sequences of at most 2048 tokens."""
+    """Documents packed into sequences of at most 2048 tokens. A null or empty text is
+    its end id alone; longer texts are cut into pieces; repeated rows and rows
+    without an id are packed each; other columns are left out; no rows: no sequences."""
     return packing.pack_documents(docs)
 
 
