@@ -27,6 +27,7 @@ from tillroll.operators.gold import (
     materialized_product_stats,
     product_metrics,
 )
+from tillroll.session import materialize
 from tillroll.operators.silver import SILVER_COLUMNS, valid_sales
 
 # Output column names and order of the feature tables.
@@ -323,18 +324,53 @@ def guest_salted_key(customer: str = "CustomerID", spread_by: str = "record_hash
     return F.coalesce(F.col(customer).cast("long"), salt)
 
 
-def transaction_features(clean: DataFrame) -> DataFrame:
+#: customers with at least this share of the lines are hot: there are at most its inverse
+HOT_SHARE = 1 / 200
+#: keys that a hot customer's lines are spread over
+HOT_SALTS = 64
+
+
+def hot_customers(lines: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """Customers with at least ``share`` of the lines, from a bounded sketch of the
+    most frequent ids (one narrow pass). The sketch overstates a count at most by
+    its error, so no hot customer is missed; there are at most about 1 / share."""
+    k = int(round(1 / share))
+    known = lines.select("CustomerID").where("CustomerID IS NOT NULL")
+    top = known.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(CustomerID, {k}, {32 * k})").alias("top"))
+    return top.select("n", F.explode("top").alias("at")).where(F.col("at.count") >= F.col("n") * share).select(
+        F.col("at.item").alias("CustomerID"))
+
+
+def _salted_stats(stats: DataFrame, hot: DataFrame, salts: int) -> DataFrame:
+    """Statistics with ``_tr_salt``: one row of a customer, ``salts`` of a hot one."""
+    marked = stats.join(F.broadcast(hot.withColumn("_tr_hot", F.lit(True))), "CustomerID", "left")
+    copies = F.when(F.col("_tr_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return marked.select("*", F.explode(copies).alias("_tr_salt")).drop("_tr_hot")
+
+
+def transaction_features(clean: DataFrame, hot_share: float = HOT_SHARE, salts: int = HOT_SALTS) -> DataFrame:
     """Lines + customer stats, z-scores and hour flags (31 columns).
 
-    One scan of the lines and one left join to the per-customer stats on a
-    guest-salted key: AQE broadcasts the stats when it measures them small,
-    otherwise a shuffle join whose skewed partitions (a hot customer) AQE
-    splits; guest lines can never match and are spread by the salt."""
-    stats = customer_price_stats(clean).select(
-        F.col("CustomerID").cast("long").alias("_tr_key"), *CUSTOMER_STATS
-    )
-    lines = clean.withColumn("_tr_key", guest_salted_key()).join(stats, "_tr_key", "left")
-    return hour_flags(zscores(lines)).select(*TRANSACTION_FEATURE_COLUMNS)
+    The join of lines with the per-customer stats has no hot key, whatever AQE does:
+    guests never match and are spread by their record; the lines of the few hot
+    customers (``hot_customers``) are spread over ``salts`` keys, and only their
+    stats are copied as often. A broadcast is left to AQE's measured sizes.
+    ``clean`` is read three times: store it."""
+    hot = materialize(hot_customers(clean, hot_share), "hot_customers")
+    stats = _salted_stats(customer_price_stats(clean), hot, salts).select(
+        F.col("CustomerID").cast("long").alias("_tr_key"), "_tr_salt", *CUSTOMER_STATS)
+    salt = F.when(F.col("_tr_hot"), F.pmod(F.xxhash64("record_hash"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    lines = clean.join(F.broadcast(hot.withColumn("_tr_hot", F.lit(True))), "CustomerID", "left")
+    lines = lines.withColumn("_tr_key", guest_salted_key()).withColumn("_tr_salt", salt).drop("_tr_hot")
+    joined = lines.join(stats, ["_tr_key", "_tr_salt"], "left")
+    return hour_flags(zscores(joined)).select(*TRANSACTION_FEATURE_COLUMNS)
+
+
+def known_transaction_features(known: DataFrame) -> DataFrame:
+    """E24-E27 for lines with a customer that are stored dealt by customer
+    (``sources.layouts``): statistics and join run where the lines lie."""
+    joined = known.join(customer_price_stats(known).hint("merge"), "CustomerID", "left")
+    return hour_flags(zscores(joined)).select(*TRANSACTION_FEATURE_COLUMNS)
 
 
 def zscores(lines: DataFrame) -> DataFrame:

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tillroll.operators import baskets as BK
 from tillroll.operators import bronze as B
 from tillroll.operators import features as FE
 from tillroll.operators import gold as G
 from tillroll.operators import segmentation as SG
 from tillroll.operators import serving as SV
 from tillroll.operators import silver as S
+from tillroll.operators import sketches as SK
 from tillroll.operators.silver import valid_sales
 from tillroll.plans import oracle as O
 from tillroll.plans import refresh as RF
@@ -83,6 +85,15 @@ def refreshed_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return RF.marts(spark, base, as_of=AS_OF)
 
 
+def amount_quantile_error_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sketches' quantiles stand from the lines' (whether within 1 %)."""
+    clean = stored_clean_df(spark, sf_dir)
+    sketches = materialize(SK.daily_sketches(clean), "sketches")
+    bands = SK.amount_bands(clean, materialize(SK.amount_quantiles(sketches, ["Country"], [20, 50, 80]), "quantiles"))
+    at = F.col("percent") / 100
+    return bands.select("Country", "percent", "amounts", ((F.col("below") <= at + 0.01) & (F.col("up_to") >= at - 0.01)).alias("within_one_percent"))
+
+
 def segmented_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, segmented = SG.segment(cf_df(spark, sf_dir))
     return segmented
@@ -299,6 +310,28 @@ def _registry() -> dict[str, Query]:
         lambda s, d: FE.basket_items(clean_df(s, d)),
         w("clean", "SELECT InvoiceNo, StockCode, count(*) AS lines FROM v GROUP BY InvoiceNo, StockCode"),
         [], "E15")
+    q["item_pairs"] = Query(
+        lambda s, d: BK.item_pairs(clean_df(s, d), min_invoices=2),
+        w("clean", "SELECT * FROM (WITH b AS (SELECT DISTINCT InvoiceNo, StockCode FROM v), "
+                   "i AS (SELECT StockCode, count(*)::DOUBLE AS n FROM b GROUP BY StockCode), "
+                   "t AS (SELECT count(DISTINCT InvoiceNo)::DOUBLE AS n FROM b), "
+                   "p AS (SELECT x.StockCode AS item_a, y.StockCode AS item_b, count(*) AS invoices FROM b x JOIN b y "
+                   "ON x.InvoiceNo = y.InvoiceNo AND x.StockCode < y.StockCode GROUP BY ALL HAVING count(*) >= 2) "
+                   "SELECT item_a, item_b, invoices, invoices / t.n AS support, invoices / ia.n AS confidence_a_to_b, "
+                   "invoices / ib.n AS confidence_b_to_a, invoices * t.n / (ia.n * ib.n) AS lift "
+                   "FROM p JOIN i ia ON ia.StockCode = item_a JOIN i ib ON ib.StockCode = item_b CROSS JOIN t)"),
+        ["support", "confidence_a_to_b", "confidence_b_to_a", "lift"], "E15")
+    q["amount_quantile_error"] = Query(
+        amount_quantile_error_df,
+        w("clean", "SELECT Country, CAST(percent AS INTEGER) AS percent, count(*) AS amounts, true AS within_one_percent "
+                   "FROM v CROSS JOIN (SELECT unnest([20, 50, 80]) AS percent) WHERE total_price IS NOT NULL GROUP BY ALL"),
+        [], "D14 approximate")
+    q["monthly_distinct"] = Query(
+        lambda s, d: SK.monthly_distinct(SK.daily_sketches(clean_df(s, d))),
+        w("clean", "SELECT year, month, count(DISTINCT CustomerID) AS distinct_customers, count(DISTINCT StockCode) AS distinct_products, "
+                   "count(DISTINCT CustomerID) FILTER (WHERE EXISTS (SELECT 1 FROM v e WHERE e.CustomerID = v.CustomerID "
+                   "AND e.year * 12 + e.month + 1 = v.year * 12 + v.month)) AS returning_customers FROM v GROUP BY year, month"),
+        [], "D8 D17 D22 E6 distinct")
     q["transaction_features"] = Query(
         lambda s, d: FE.transaction_features(stored_clean_df(s, d)),
         w("tf", "SELECT * FROM tf"), TF_DOUBLES, "E23-E27")
