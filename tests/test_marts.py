@@ -10,6 +10,7 @@ from helpers import SF_SMALL, clean_of, line
 from tillroll.operators import gold as G
 from tillroll.operators import serving as SV
 from tillroll.plans.registry import AS_OF, clean_df, round_doubles
+from tillroll.session import materialize
 
 
 def _rows(df, key):
@@ -59,3 +60,17 @@ def test_rfm_segments_follow_rule_order(spark):
     got = [r.s for r in df.select(G.rfm_segment(F.col("r"), F.col("f")).alias("s")).collect()]
     assert got == ["Champions", "Loyal Customers", "Promising", "At Risk", "Hibernating",
                    "Potential Loyalists"]
+
+
+def test_naive_shapes_give_the_same(spark):
+    """The benchmark's yardsticks compute what the operators do."""
+    import naive as N
+
+    clean = materialize(clean_df(spark, SF_SMALL), "naive_clean")
+
+    def rows(df):
+        shown = df.select(*[F.round(F.col(c) + 3.7e-9, 4).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+        return sorted(map(str, map(tuple, shown.collect())))
+
+    assert rows(N.customer_360_naive(clean, as_of=AS_OF)) == rows(G.customer_360(clean, as_of=AS_OF))
+    assert rows(N.product_metrics_naive(clean).drop("performance_category")) == rows(G.product_metrics(clean).drop("performance_category"))
