@@ -22,7 +22,8 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packing.pack_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "group_bins", "group_bound")
 
 
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
