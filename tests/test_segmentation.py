@@ -1,4 +1,4 @@
-"""K-Means segmentation invariants (no SQL oracle: checked by properties)."""
+"""K-Means segmentation: invariants of both fits (the default one also has SQL)."""
 
 from __future__ import annotations
 
@@ -41,12 +41,13 @@ def test_segments_cover_every_prepared_customer_once(spark, features):
     assert 1 <= k <= SG.DEFAULT_K
 
 
-def test_labels_do_not_depend_on_input_layout(spark, features):
+@pytest.mark.parametrize("method", ["lloyd", "ml"])
+def test_labels_do_not_depend_on_input_layout(spark, features, method):
     layouts = [features, features.orderBy("CustomerID"), features.repartition(7),
                features.repartition(13, "Country")]
     labels = []
     for df in layouts:
-        _, segmented = SG.segment(df)
+        _, segmented = SG.segment(df, method=method)
         labels.append(sorted((r.CustomerID, r.Country, r.cluster_id)
                              for r in segmented.select("CustomerID", "Country", "cluster_id").collect()))
     assert all(lab == labels[0] for lab in labels[1:])
@@ -97,3 +98,46 @@ def test_labels_do_not_depend_on_shuffle_setting(spark, features):
         assert labels() == base
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@pytest.mark.parametrize("method", ["lloyd", "ml"])
+def test_saved_model_scores_again(spark, features, tmp_path, method):
+    prepared = SG.pin_layout(SG.prepare_features(features))
+    model = SG.fit(prepared, k=3, method=method)
+    path = SG.save_model(model, str(tmp_path / "model"), 3)
+    again = SG.load_model(spark, path, method)
+    key = ["CustomerID", "Country", "cluster_id"]
+    want = sorted(map(tuple, SG.assign_clusters(prepared, model).select(*key).collect()))
+    assert sorted(map(tuple, SG.assign_clusters(prepared, again).select(*key).collect())) == want
+    few = prepared.limit(3)  # rows are scaled as the fit's were, not by themselves
+    assert {tuple(r) for r in SG.assign_clusters(few, again).select(*key).collect()} <= set(want)
+
+
+def test_exact_fit_on_clear_groups(spark):
+    """Three clear groups: k = 3 is recommended both ways, and the fit finds them."""
+    from tillroll.operators import kmeans as K
+
+    rows = [(i, "UK", (i % 3) * 100.0 + i % 5, (i % 3 == 1) * 50.0 + i % 4) for i in range(90)]
+    df = spark.createDataFrame(rows, "CustomerID int, Country string, a double, b double")
+    costs = SG.k_sweep(df, ["a", "b"], k_values=range(1, 7))
+    best = [r.k for r in costs.collect() if r.is_knee] + [r.k for r in costs.collect() if r.is_widest]
+    assert best == [3, 3] and SG.recommended_k(costs) == 3
+    cost = [r.cost for r in costs.collect()]
+    assert cost == sorted(cost, reverse=True)
+    labels = K.assign(df, K.fit(df, ["a", "b"], 3, 50)).select("CustomerID", "cluster_id").collect()
+    groups = {}
+    for r in labels:
+        groups.setdefault(r.cluster_id, set()).add(r.CustomerID % 3)
+    assert sorted(map(sorted, groups.values())) == [[0], [1], [2]]
+
+
+def test_few_rows_and_flat_features(spark):
+    from tillroll.operators import kmeans as K
+
+    df = spark.createDataFrame([(1, "UK", 2.0, None), (2, None, 2.0, 5.0), (2, None, 2.0, 5.0)],
+                               "CustomerID int, Country string, flat double, b double")
+    got = K.assign(df, K.fit(df, ["flat", "b"], 3, 10))
+    assert got.count() == 3 and {r.cluster_id for r in got.collect()} <= {0, 1, 2}
+    empty = df.limit(0)
+    assert K.assign(empty, K.fit(empty, ["flat", "b"], 2, 10)).count() == 0
+    assert SG.k_sweep(empty, ["flat", "b"], k_values=[2, 3]).count() == 0 and SG.recommended_k(SG.k_sweep(empty, ["b"])) == SG.DEFAULT_K
