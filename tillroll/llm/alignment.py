@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -45,7 +46,7 @@ ID_BITS = 20
 FREQUENT = 200_000
 # products of shared-group links made at a time, code points aligned at a time, pieces
 # a worker remembers (memory only)
-BLOCK_PRODUCTS, BATCH_CHARS, HELD_PIECES = 1 << 20, 150_000, 250_000
+BLOCK_PRODUCTS, BATCH_CHARS, HELD_PIECES = 1 << 20, 250_000, 400_000
 
 ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_shared long, "
            "groups_sha256 string, links array<long>, times array<long>")
@@ -87,6 +88,10 @@ class Spans(NamedTuple):
     ends: np.ndarray
     cut: np.ndarray
 
+    def text(self) -> np.ndarray:
+        """The text of each token."""
+        return np.repeat(np.arange(len(self.cut) - 1), np.diff(self.cut))
+
     def by_byte(self) -> Csr:
         """Token-byte incidence: row t holds the bytes of token t."""
         total = int(self.ends[-1]) if len(self.ends) else 0
@@ -157,11 +162,74 @@ class PlainEncoder(PieceEncoder):
         return super().encode(texts)
 
 
+class PieceIds:
+    """Ids of the sentencepiece model: texts are cut where nothing is merged, and a
+    worker asks the library once for each pre-token it meets."""
+
+    def __init__(self, path: str | None = None):
+        self.model = model(path)
+        self._reset()
+
+    def _reset(self) -> None:
+        self.known: dict[str, int] = {}
+        self.start, self.size, self.ids = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.used = 0
+
+    def _learn(self, fresh: list[str]) -> None:
+        made, n = self.model, len(self.known)
+        got = [ids[made.fence_size:] for ids in made.sp.encode([made.fence + p for p in fresh], num_threads=1)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        flat = np.fromiter(chain.from_iterable(got), np.int64, int(sizes.sum()))
+        while n + len(fresh) > len(self.size):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.size[n:n + len(fresh)] = sizes
+        self.start[n:n + len(fresh)] = self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.known.update(zip(fresh, range(n, n + len(fresh))))
+
+    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        if len(self.known) > HELD_PIECES:
+            self._reset()
+        rows = self.model.pre_tokens(batch)
+        parts = list(chain.from_iterable(rows))
+        number = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(number < 0).tolist()
+        if new:
+            self._learn(list(dict.fromkeys([parts[i] for i in new])))
+            number[new] = [self.known[parts[i]] for i in new]
+        sizes = self.size[number]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(self.start[number] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, np.diff(ends[np.cumsum([0, *map(len, rows)])])
+
+
+class Spelling(NamedTuple):
+    """The bytes of a vocabulary's tokens in a row."""
+
+    flat: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+
+    @classmethod
+    def of(cls, tokens: list[bytes]) -> Spelling:
+        size = np.array([len(x) for x in tokens])
+        return cls(np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size)
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        return self.flat[np.repeat(self.start[ids] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Aligner:
     """Both encodings of batches of texts, and the bytes of their tokens."""
 
     def __init__(self, a_path: str | None = None, b_path: str | None = None):
-        self.enc, self.sp = PlainEncoder(a_path), model(b_path).sp
+        self.enc, self.pieces, self.sp = PlainEncoder(a_path), PieceIds(b_path), model(b_path).sp
         byte = {letter: b for b, letter in self.enc.letters.items()}
         size = self.enc.tok.get_vocab_size()
         self.a_bytes = [bytes(byte[c] for c in self.enc.tok.id_to_token(i)) for i in range(size)]
@@ -170,31 +238,40 @@ class Aligner:
             else self.sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(self.sp.get_piece_size())]
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << ID_BITS:
             raise ValueError("token ids beyond the bits of a pair")
-        self.a_size = np.array([len(x) for x in self.a_bytes])
-        self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.a_spelling, self.b_spelling = Spelling.of(self.a_bytes), Spelling.of(self.b_bytes)
         names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.names = np.array([[n + sign for n in names] for sign in ",|;"], object)
 
-    def encode(self, batch: list[str]) -> tuple[list[int], Spans, Spans]:
+    def encode(self, batch: list[str]) -> tuple[np.ndarray, Spans, Spans]:
         """Which texts both encodings spell byte for byte, and their tokens."""
         spelt = [(" " + t).encode("utf-8", "surrogatepass") if t else b"" for t in batch]
+        raw, width = np.frombuffer(b"".join(spelt), np.uint8), np.fromiter(map(len, spelt), np.int64, len(spelt))
         a = self.enc.encode([" " + t if t else "" for t in batch])
-        b = [np.array(ids, np.int64) for ids in self.sp.encode(batch, num_threads=1)]
-        exact = [i for i, raw in enumerate(spelt) if raw
-                 and b"".join([self.b_bytes[k] for k in b[i].tolist()]) == raw
-                 and b"".join([self.a_bytes[k] for k in a[i].tolist()]) == raw]
-
-        def spans(ids: list[np.ndarray], size: np.ndarray) -> Spans:
-            picked = [ids[i] for i in exact]
-            flat = np.concatenate(picked).astype(np.int64) if picked else np.empty(0, np.int64)
-            return Spans(flat, np.cumsum(size[flat]), np.cumsum([0, *map(len, picked)]))
-
-        return exact, spans(a, self.a_size), spans(b, self.b_size)
-
-    def align(self, batch: list[str]) -> tuple[list[int], Alignment]:
+        both = [(np.concatenate(a).astype(np.int64) if a else np.empty(0, np.int64), np.fromiter(map(len, a), np.int64, len(a))),
+                self.pieces.encode(batch)]
+        exact = width > 0
+        for (ids, n), spelling in zip(both, (self.a_spelling, self.b_spelling)):
+            bytes_of = np.diff(np.concatenate([[0], np.cumsum(spelling.size[ids])])[np.cumsum([0, *n])])
+            exact &= bytes_of == width
+        for (ids, n), spelling in zip(both, (self.a_spelling, self.b_spelling)):
+            differs = spelling.spell(ids[np.repeat(exact, n)]) != raw[np.repeat(exact, width)]
+            if differs.any():
+                text = np.repeat(np.flatnonzero(exact), width[exact])
+                exact[text[differs]] = False
+
+        def spans(ids: np.ndarray, n: np.ndarray, spelling: Spelling) -> Spans:
+            kept = ids[np.repeat(exact, n)]
+            return Spans(kept, np.cumsum(spelling.size[kept]), np.cumsum([0, *n[exact]]))
+
+        return np.flatnonzero(exact), spans(*both[0], self.a_spelling), spans(*both[1], self.b_spelling)
+
+    def align(self, batch: list[str]) -> tuple[np.ndarray, Alignment]:
         exact, a, b = self.encode(batch)
-        ends = np.intersect1d(a.ends, b.ends, assume_unique=True)
-        return exact, Alignment(a, b, ends, np.searchsorted(ends, a.ends), np.searchsorted(ends, b.ends))
+        total = int(a.ends[-1]) if len(a.ends) else 0
+        ends_a, ends_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+        ends_a[a.ends], ends_b[b.ends] = True, True
+        last_a, last_b = ends_b[a.ends], ends_a[b.ends]  # tokens that end a group
+        return exact, Alignment(a, b, a.ends[last_a], np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b)
 
     def digests(self, got: Alignment) -> list[str]:
         """Digest of each text's groups, written a1,a2|b1;a3|b2,b3 in ids."""
@@ -234,9 +311,9 @@ def link_rows(docs: DataFrame, kind: str = "overlap", a_path: str | None = None,
             for begin, _, group in char_groups(batch["text"], BATCH_CHARS):
                 exact, got = aligner(a_path, b_path).align(group)
                 over = got.overlaps() if kind == "overlap" else None
-                doc_ids = batch["doc_id"].take(pa.array([begin + i for i in exact], pa.int64()))
+                doc_ids = batch["doc_id"].take(pa.array(begin + exact))
                 for a, b in [(over.rows(), over.indices)] if over else got.shared():
-                    text = np.searchsorted(got.a.cut, a, "right") - 1
+                    text = got.a.text()[a]
                     yield pa.RecordBatch.from_arrays(
                         [doc_ids.take(pa.array(text)), pa.array(a - got.a.cut[text]), pa.array(b - got.b.cut[text]),
                          pa.array(got.a.ids[a]), pa.array(got.b.ids[b])], ["doc_id", "a_at", "b_at", "a_id", "b_id"])
@@ -255,8 +332,8 @@ def aligned_documents(docs: DataFrame, a_path: str | None = None, b_path: str |
                 made = aligner(a_path, b_path)
                 exact, got = made.align(group)
                 n, over = end - begin, got.overlaps()
-                text = np.searchsorted(got.a.cut, over.rows(), "right") - 1
-                place = (text << 2 * ID_BITS) | (got.a.ids[over.rows()] << ID_BITS) | got.b.ids[over.indices]
+                of_a = over.rows()
+                place = (got.a.text()[of_a] << 2 * ID_BITS) | (got.a.ids[of_a] << ID_BITS) | got.b.ids[over.indices]
                 pair, times = np.unique(place, return_counts=True)
 
                 def spread(values: np.ndarray) -> np.ndarray:
@@ -268,8 +345,7 @@ def aligned_documents(docs: DataFrame, a_path: str | None = None, b_path: str |
                 digest[exact] = made.digests(got)
                 sizes = spread(np.bincount(pair >> 2 * ID_BITS, minlength=len(exact)))
                 cut = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                ends = np.searchsorted(got.a.ends, got.group_ends)  # the A token that ends each group
-                is_end = np.bincount(ends, minlength=len(got.a.ids))
+                is_end = np.diff(got.group_of_a, append=-1) != 0
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + n)), batch["doc_id"].slice(begin, n),
                      pa.array(spread(np.diff(got.a.cut))), pa.array(spread(np.diff(got.b.cut))),
