@@ -367,26 +367,30 @@ def _blanks(s: Column) -> Column:
     return (F.length(s) - F.length(F.replace(s, F.lit(" ")))).cast("int")
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, not at each of its uses."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _places(words: Column, pattern: Column) -> Column:
     """(start, end) in words of every match of a pattern in `` w w w ``: the
     pieces between the matches and the matches themselves, summed up."""
-    between = F.split(words, pattern, -1)
-    found = F.regexp_extract_all(words, pattern, F.lit(0))
-    size = F.transform(F.sequence(F.lit(0), F.size(found)), lambda i: F.when(
-        i < F.size(found),
-        F.struct(_blanks(F.get(between, i)).alias("before"), (_blanks(F.get(found, i)) + 1).alias("own"),
-                 _blanks(F.get(found, i)).alias("inner"))))
-    start = F.lit(0).cast("int")
-    steps = F.aggregate(
-        F.filter(size, lambda z: z.isNotNull()),
-        F.struct(start.alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("out")),
-        lambda acc, z: F.struct(
-            (acc["at"] + z["before"] + z["inner"]).cast("int").alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + z["before"] - 1).cast("int").alias("start"),
-                (acc["at"] + z["before"] - 1 + z["own"]).cast("int").alias("end")))).alias("out")),
-    )
-    return steps["out"]
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+
+    def summed(found: Column, between: Column) -> Column:
+        size = F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.struct(
+            _blanks(F.get(between, i)).alias("before"), _blanks(F.get(found, i)).alias("inner")))
+        steps = F.aggregate(
+            size, F.struct(F.lit(0).cast("int").alias("at"), none.alias("out")),
+            lambda acc, z: F.struct(
+                (acc["at"] + z["before"] + z["inner"]).cast("int").alias("at"),
+                F.concat(acc["out"], F.array(F.struct(
+                    (acc["at"] + z["before"] - 1).cast("int").alias("start"),
+                    (acc["at"] + z["before"] + z["inner"]).cast("int").alias("end")))).alias("out")))
+        return steps["out"]
+
+    return _once(F.regexp_extract_all(words, pattern, F.lit(0)), lambda found: F.when(
+        F.size(found) > 0, _once(F.split(words, pattern, -1), lambda between: summed(found, between))).otherwise(none))
 
 
 def _rule_table(table: list[Rule]) -> Column:
