@@ -351,3 +351,51 @@ def test_written_shards_prune(spark, tmp_path):
     assert back.select(docs.columns).exceptAll(docs).count() == 0 and back.count() == docs.count()
     sources = back.groupBy("_shard").agg({"source": "approx_count_distinct"}).toPandas().iloc[:, 1]
     assert sources.mean() < 0.8 * docs.select("source").distinct().count()
+
+
+def far_sources(spark, n=4000, sources=200):
+    """Sources that differ only after a long common beginning; one holds a third
+    of the rows, some are null."""
+    rng = random.Random(3)
+    name = lambda i: f"https://crawl.example.org/segments/{i:05d}"
+    rows = [(i, f"text {i}", "en", None if i % 97 == 0 else name(0 if rng.random() < 0.33 else rng.randrange(sources)), rng.randrange(5000))
+            for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_string_bounds_are_exact_quantiles(spark):
+    docs = far_sources(spark)
+    for parts in (4, 32):
+        got = sharding.string_bounds(docs.repartition(5), ["source", "lang"], parts)
+        ordered = sorted(r.source for r in docs.collect() if r.source is not None)
+        want = [ordered[-(-len(ordered) * i // parts) - 1] for i in range(1, parts)]
+        assert got == {"source": list(dict.fromkeys(want)), "lang": ["en"]}
+    assert sharding.string_bounds(docs.limit(0), ["source"], 8) == {"source": []}
+
+
+def test_slots_follow_the_curve(spark):
+    docs = far_sources(spark)
+    got = sharding.hilbert_shards(docs, keep=["source", "lang", "n_chars"]).collect()
+    bounds = {"lang": ["en"], **sharding.string_bounds(docs, ["source"], 32)}
+    sizes = sorted(r.n_chars for r in docs.collect())
+    assert max(r.curve for r in got) < 2**15
+    ordered = [(r.curve, r.doc_id) for r in sorted(got, key=lambda r: (r.shard, r.slot))]
+    assert ordered == sorted(ordered)
+    # a row's place is that of its cells; numbers are cut at quantiles good to one part in 10,000
+    place = lambda r: [sum(b <= r.kept[d] for b in bounds[d]) if r.kept[d] is not None else 0 for d in ("lang", "source")]
+    cells = {}
+    for r in got:
+        cells.setdefault(r.curve, set()).add(tuple(place(r)))
+    assert all(len(c) == 1 for c in cells.values())
+    for r in got:
+        rank = np.searchsorted(sizes, r.kept.n_chars) / len(sizes)
+        options = [min(31, max(0, int(rank * 32) + k)) for k in (-1, 0, 1)]
+        assert r.curve in sharding.hilbert_index(np.array([[*place(r), o] for o in options]), 5)
+
+
+def test_sources_with_a_common_beginning_prune(spark):
+    docs = far_sources(spark)
+    of = {}
+    for r in sharding.hilbert_shards(docs, dimensions=("source", "n_chars"), keep=["source"]).collect():
+        of.setdefault(r.shard, set()).add(r.kept.source)
+    assert np.mean([len(s) for s in of.values()]) < 0.5 * 200

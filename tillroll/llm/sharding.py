@@ -1,16 +1,17 @@
 """Shards of documents along a Hilbert curve over their metadata.
 
-Each dimension is quantised at the quantiles of all rows (a bounded sketch;
-numbers as they are, strings by their first bytes, which keeps their order), the
-cells are numbered along a Hilbert curve, and the rows, in curve order, are cut
-into runs whose counts are at most one apart. Neighbours on the curve are
+Each dimension is quantised at the quantiles of all rows: numbers by a bounded
+sketch, strings exactly, from the counts of their distinct values in order, whole
+strings compared. The cells are numbered along a Hilbert curve, and the rows, in
+curve order, are cut into runs whose counts are at most one apart. Neighbours on the curve are
 neighbours in every dimension, so files of a run have narrow ranges in all of
 them and readers can skip by any.
 
 The order comes from one range exchange of narrow rows with the id and text hash
 as last keys, so a cell that holds a third of the rows is split like any other.
 
-Edge cases: nulls in a dimension come first (cell 0); null texts have size 1;
+Edge cases: nulls in a dimension come first (cell 0), strings of any length are
+compared whole; null texts have size 1; very long texts only cost their size;
 rows that are equal in all keys are interchangeable; extra columns are ignored
 unless kept; no rows: no shards.
 """
@@ -21,11 +22,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tillroll.operators.ranking import global_rank, tile_of_rank
+from tillroll.operators.ranking import global_rank, range_tagged, tile_of_rank
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -59,11 +60,41 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _ordered_number(df: DataFrame, name: str) -> Column:
-    """A number in the column's order: strings by their first seven bytes."""
-    if isinstance(df.schema[name].dataType, StringType):
-        return F.conv(F.rpad(F.substring(F.hex(name), 1, 14), 14, "0"), 16, 10).cast("double")
-    return F.col(name).cast("double")
+def string_bounds(docs: DataFrame, names: Sequence[str], parts: int) -> dict[str, list[str]]:
+    """The distinct quantiles 1/parts .. (parts - 1)/parts of each string column
+    over its rows that are not null, whole strings in byte order. Rows collapse to
+    distinct values with counts before they are sorted, so a hot value is one row;
+    running counts come from range parts, and at most ``parts - 1`` strings a
+    column reach the driver."""
+    if not names:
+        return {}
+    values = F.array(*[F.col(n).cast("string") for n in names])
+    counts = (
+        docs.select(F.posexplode(values).alias("column", "value")).filter("value IS NOT NULL")
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranged = range_tagged(counts, ["column", "value"])
+    # one row per range part and column
+    held = ranged.groupBy("_tr_pid", "column").agg(F.sum("n").alias("held"))
+    before = Window.partitionBy("column").orderBy("_tr_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select("_tr_pid", "column", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"),
+                         F.sum("held").over(Window.partitionBy("column")).alias("total"))
+    upto = F.col("start") + F.sum("n").over(Window.partitionBy("_tr_pid", "column").orderBy("value"))
+    running = ranged.join(F.broadcast(starts), ["_tr_pid", "column"]).select("column", "value", "total", upto.alias("upto"))
+    reached = running.groupBy("column").agg(*[
+        F.min(F.when(F.col("upto") * parts >= F.col("total") * i, F.col("value"))).alias(f"q{i}") for i in range(1, parts)])
+    bounds: dict[str, list[str]] = {n: [] for n in names}
+    for row in reached.collect():  # one row per column
+        bounds[names[row["column"]]] = list(dict.fromkeys(row[1:]))
+    return bounds
+
+
+def _string_cell(name: str, bounds: Sequence[str]) -> Column:
+    """How many bounds are not above the string (null: 0)."""
+    value = F.col(name).cast("string")
+    if not bounds:
+        return F.lit(0.0)
+    return F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= value)), F.lit(0)).cast("double")
 
 
 def hilbert_shards(docs: DataFrame, dimensions: Sequence[str] = ("lang", "source", "n_chars"), shards: int = 8,
@@ -72,16 +103,21 @@ def hilbert_shards(docs: DataFrame, dimensions: Sequence[str] = ("lang", "source
     ``curve`` (place on the curve), ``shard`` and ``slot`` of every row, and the
     columns to ``keep`` as ``kept.<name>``."""
     text = F.coalesce("text", F.lit(""))
+    strings = [d for d in dict.fromkeys(dimensions) if isinstance(docs.schema[d].dataType, StringType)]
+    by_string = string_bounds(docs, strings, 2**bits)
+    numbers = [F.col(d).cast("double") if d not in by_string else _string_cell(d, by_string[d]) for d in dimensions]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.struct(*[_ordered_number(docs, d).alias(f"d{i}") for i, d in enumerate(dimensions)]).alias("place"),
+        F.struct(*[n.alias(f"d{i}") for i, n in enumerate(numbers)]).alias("place"),
         *([F.struct(*keep).alias("kept")] if keep else []),
     )
     shares = [i / 2**bits for i in range(1, 2**bits)]
-    bounds = rows.agg(*[F.percentile_approx(f"place.d{i}", shares, 10_000).alias(f"d{i}") for i in range(len(dimensions))]).first()
-    edges = [np.unique(np.array(b, float)) if b else np.empty(0) for b in bounds]
+    sketched = [i for i, d in enumerate(dimensions) if d not in by_string]
+    bounds = rows.agg(F.count(F.lit(1)), *[F.percentile_approx(f"place.d{i}", shares, 10_000).alias(f"d{i}") for i in sketched]).first()
+    # strings stand as the numbers of their cells
+    edges = [np.unique(np.array(bounds[f"d{i}"] or [], float)) if i in sketched else np.arange(1, 2**bits) for i in range(len(dimensions))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
