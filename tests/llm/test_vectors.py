@@ -77,3 +77,44 @@ def test_forest_leaves(equal):
     for t in range(3):
         at = forest.leaf_of(sample, t)
         assert all((np.bincount(at, minlength=len(forest.leaf_rows)) == forest.leaf_rows) | (np.array(forest.leaf_tree) != t))
+
+
+def clustered(n, clusters, seed=4):
+    rng = np.random.default_rng(seed)
+    centres = vectors._unit(rng.normal(size=(clusters, 16)))
+    return centres[rng.integers(0, clusters, n)] + rng.normal(size=(n, 16)) * 0.02
+
+
+def test_a_stopped_search_loses_none_of_the_nearest():
+    m = vectors._unit(clustered(3000, 60))
+    forest = vectors.Forest(m, trees=4, leaf=16)
+    at = [forest.leaf_of(m, t) for t in range(4)]
+    shares = []
+    for q in range(0, 3000, 60):
+        nearest = np.sort(m @ m[q])[::-1]
+        reach = math.sqrt(2 - 2 * nearest[5] + 1e-12)
+        seen = np.isin(np.stack(at), forest.visits(m[q], math.inf, len(m), reach))
+        assert seen.any(axis=0)[m @ m[q] >= nearest[5]].all()
+        shares.append(seen.any(axis=0).mean())
+    assert np.mean(shares) < 0.2  # of all rows
+
+
+def test_clustered_vectors_are_found_and_repeats_count_once(spark):
+    m = clustered(2000, 40)
+    m[7], m[1999] = m[50], m[50]  # ties
+    rows = [(i, v.tolist()) for i, v in enumerate(m)]
+    df = spark.createDataFrame([*rows, (7, [9.0, *m[7][1:].tolist()]), rows[50]], "vec_id long, embedding array<double>")
+    got = vectors.forest_top_k(df, leaf=16, block_rows=32).collect()
+    want = brute([(i, np.array(v)) for i, v in rows], lambda x, y: float(vectors.cosines(y[None], x)[0]))
+    assert len(got) == len(want) and len({(r.query_id, r.vec_id) for r in got}) == len(got)
+    assert {(r.query_id, r.vec_id): r.score for r in got}.keys() == {(q, v) for q, _, v, _ in want}
+    assert all(abs(r.score - s) < 1e-15 for r, (_, _, _, s) in zip(sorted(got, key=lambda r: (r.query_id, r.rank)), sorted(want)))
+    assert [(r.rank, r.vec_id) for r in got if r.query_id == 50 and r.rank < 3] == [(1, 7), (2, 1999)]
+
+
+def test_near_keeps_the_best_of_each_query():
+    rng = np.random.default_rng(1)
+    a, b = vectors._unit(rng.normal(size=(300, 8))), vectors._unit(rng.normal(size=(500, 8)))
+    for x, near in zip(a, vectors._near(a, b, 5)):
+        assert set(np.argsort(-(b @ x))[:6]) <= set(near.tolist()) and len(near) < 10
+    assert [n.tolist() for n in vectors._near(a[:2], b[:3], 5)] == [[0, 1, 2]] * 2

@@ -179,18 +179,20 @@ class Forest:
                     stack.append((kid, part))
         return out
 
-    def visits(self, unit: np.ndarray, share: float, total: int) -> list[int]:
+    def visits(self, unit: np.ndarray, share: float, total: int, reach: float = math.inf) -> list[int]:
         """Leaves to search for one query: one priority queue over all trees,
-        by the smallest margin on the way, until the leaves visited hold
-        ``share`` of the sample."""
+        by the largest margin on the way, until the leaves visited hold
+        ``share`` of the sample or the next margin is beyond ``reach``: a unit
+        vector across a plane is at least the margin away."""
         import heapq
 
         queue = [(-math.inf, root) for root in self.roots]
         heapq.heapify(queue)
         found, held = [], 0
-        side: dict[int, float] = {}
         while queue and held < share * total:
             margin, node = heapq.heappop(queue)
+            if margin > reach:
+                break
             while node >= 0:
                 d = float(unit @ self.normals[node]) - self.cuts[node]
                 left, right = self.kids[node]
@@ -203,23 +205,30 @@ class Forest:
 
 
 def forest_top_k(vectors: DataFrame, k: int = 5, every: int = 50, trees: int = 8, leaf: int = 64, sample_rows: int = 20_000,
-                 search_share: float = 1.3, block_rows: int = 2048) -> DataFrame:
+                 search_share: float = 1.3, block_rows: int = 2048, first_trees: int = 2) -> DataFrame:
     """Each query's ``k`` nearest rows by cosine among the leaves it visits.
 
     The hyperplanes come from ``sample_rows`` rows, those of the smallest id
     hashes (a bounded, documented sample); every row is indexed. Rows stand once
     under the leaves of all trees: (tree, leaf, block) with leaves of more than
     ``block_rows`` rows in several blocks, so a hot leaf is searched in parts.
-    Every leaf candidate is reranked by its exact cosine; a row found in several
-    trees counts once. ``search_share`` is the sum of leaf shares that a query
-    visits, over all trees."""
-    rows = materialize(valid(vectors).filter(F.exists("vec", lambda x: x != 0)), "vectors")
+
+    A query first searches its own leaves of ``first_trees`` trees. The k-th cosine
+    found there says how far away a better row can be, and the queue over all
+    trees stops at the first margin beyond that: what it leaves out cannot be
+    among the ``k`` nearest. Where rows have clusters this ends the search early;
+    where they have none, the sum of the visited leaves' shares reaches
+    ``search_share``, which bounds it. A block and its queries are one matrix
+    product; what comes within rounding of a query's k best is reranked by its
+    exact cosine. A row found in several trees counts once."""
+    rows = materialize(
+        valid(vectors).filter(F.exists("vec", lambda x: x != 0)).groupBy("vec_id", "dim").agg(F.min("vec").alias("vec")), "vectors")
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vec", "dim").toPandas()
     forests = {}
     for dim, part in picked.groupby("dim"):
         unit = _unit(_matrix(part["vec"]))
         forests[int(dim)] = (Forest(unit, trees, leaf), len(unit))
-    # a length that the sample lacks is searched whole, as one leaf per tree
+    # a length that the sample lacks is searched whole, as one leaf
     shared = rows.sparkSession.sparkContext.broadcast(forests)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,17 +241,23 @@ def forest_top_k(vectors: DataFrame, k: int = 5, every: int = 50, trees: int = 8
                 for t in range(trees if forest else 1):
                     at = forest[0].leaf_of(unit, t) if forest else np.zeros(len(unit), np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [ids, pa.array([dim] * len(part), pa.int32()), pa.array(at)], ["vec_id", "dim", "leaf"])
+                        [ids, pa.array([dim] * len(part), pa.int32()), pa.array([t] * len(part), pa.int32()), pa.array(at)],
+                        ["vec_id", "dim", "tree", "leaf"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pdf = batch.to_pandas()
             for dim, part in pdf.groupby("dim"):
-                unit = _unit(_matrix(part["vec"]))
                 forest = shared.value.get(int(dim))
+                if not forest:
+                    continue
+                unit = _unit(_matrix(part["vec"]))
+                home = [forest[0].leaf_of(unit, t) for t in range(min(first_trees, trees))]
                 ids, leaves = [], []
-                for vec_id, u in zip(part["vec_id"].tolist(), unit):
-                    to = forest[0].visits(u, search_share, forest[1]) if forest else [0]
+                for i, (vec_id, u, kth) in enumerate(zip(part["vec_id"].tolist(), unit, part["kth"].tolist())):
+                    reach = math.sqrt(max(0.0, 2 - 2 * kth) + 1e-12) if kth == kth else math.inf
+                    seen = {int(h[i]) for h in home}
+                    to = [x for x in forest[0].visits(u, search_share, forest[1], reach) if x not in seen]
                     ids += [vec_id] * len(to)
                     leaves += to
                 yield pa.RecordBatch.from_arrays(
@@ -250,10 +265,18 @@ def forest_top_k(vectors: DataFrame, k: int = 5, every: int = 50, trees: int = 8
                     ["query_id", "dim", "leaf"])
 
     query_rows = rows.filter(F.col("vec_id") % every == 0)
-    placed = materialize(rows.mapInArrow(index, "vec_id long, dim int, leaf long"), "leaves")
-    visits = materialize(query_rows.mapInArrow(probe, "query_id long, dim int, leaf long").distinct(), "visits")
+    placed = materialize(rows.mapInArrow(index, "vec_id long, dim int, tree int, leaf long"), "leaves")
     leaves = max([1, *(len(f.leaf_rows) for f, _ in forests.values())])
-    return _search(rows, query_rows, placed, visits, k, block_rows, leaves)
+    home = materialize(placed.filter((F.col("vec_id") % every == 0) & (F.col("tree") < first_trees)).select(
+        F.col("vec_id").alias("query_id"), "dim", "leaf"), "home")
+    first = materialize(top_lists(_leaf_lists(rows, query_rows, placed.filter(F.col("tree") < first_trees), home, k, block_rows),
+                                  "query_id", "part", "best", k, leaves), "first-lists")
+    kth = first.select(F.col("query_id").alias("vec_id"),
+                       F.when(F.size("best") >= k, -F.get("best", F.lit(k - 1))["down"]).alias("kth"))
+    asked = query_rows.join(kth, "vec_id", "left").select("vec_id", "dim", "vec", "kth")
+    visits = materialize(asked.mapInArrow(probe, "query_id long, dim int, leaf long"), "visits")
+    lists = _leaf_lists(rows, query_rows, placed, visits, k, block_rows).unionByName(first.withColumn("part", F.lit(0)))
+    return _ranked(top_lists(lists, "query_id", "part", "best", k, leaves), "score")
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -267,33 +290,50 @@ def cosines(m: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (m * x).sum(axis=1) / (np.sqrt((m * m).sum(axis=1)) * np.sqrt((x * x).sum()))
 
 
-def _search(rows, query_rows, placed, visits, k, block_rows, leaves) -> DataFrame:
+#: more than two ways of summing a cosine can differ by
+_ROUNDING = 1e-9
+
+
+def _near(asked: np.ndarray, rows: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """For each asked unit vector the places of the unit ``rows`` whose cosine may
+    be among its k + 1 largest: by matrix products, with room for rounding."""
+    for at in range(0, len(asked), 256):
+        scores = asked[at:at + 256] @ rows.T
+        if scores.shape[1] <= k + 1:
+            yield from [np.arange(scores.shape[1])] * len(scores)
+            continue
+        least = np.partition(scores, scores.shape[1] - k - 1, axis=1)[:, scores.shape[1] - k - 1]
+        for row, low in zip(scores, least):
+            yield np.flatnonzero(row >= low - _ROUNDING)
+
+
+def _leaf_lists(rows: DataFrame, query_rows: DataFrame, placed: DataFrame, visits: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """``best``, the k nearest rows of each query in each block of the leaves it
+    visits; ``part`` is the leaf. Leaves that no query visits move no vectors."""
     key = ["dim", "leaf"]
-    sizes = placed.groupBy(*key).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    wanted = placed.join(visits.select(*key).distinct(), key, "left_semi")
+    sizes = wanted.groupBy(*key).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     spread = (
-        placed.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int")).drop("blocks")
-        .join(rows.select("vec_id", "vec"), "vec_id")
+        wanted.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
+        .select("vec_id", *key, "block").join(rows, ["vec_id", "dim"])
     )
     asked = (
         visits.join(sizes, key).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).drop("blocks")
-        .join(query_rows.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("asked")), "query_id")
+        .join(query_rows.select(F.col("vec_id").alias("query_id"), "dim", F.col("vec").alias("asked")), ["query_id", "dim"])
     )
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            left = _one_per_id(left.rename(columns={"query_id": "vec_id", "asked": "vec"}))
-            right = _one_per_id(right)
-            ids, m = right["vec_id"].to_numpy(), _matrix(right["vec"])
-            for query, x in zip(left["vec_id"].tolist(), _matrix(left["vec"])):
-                down, found = _best(cosines(m, x), ids, query, k)
+            ids, m, q = right["vec_id"].to_numpy(), _matrix(right["vec"]), _matrix(left["asked"])
+            part = int(left["leaf"].iloc[0])
+            for query, x, near in zip(left["query_id"].tolist(), q, _near(_unit(q), _unit(m), k)):
+                down, found = _best(cosines(m[near], x), ids[near], query, k)
                 if found:
-                    out.append((query, int(left["leaf"].iloc[0]), [{"down": -s, "vec_id": v} for s, v in zip(down, found)]))
+                    out.append((query, part, [{"down": -s, "vec_id": v} for s, v in zip(down, found)]))
         return pd.DataFrame(out, columns=["query_id", "part", "best"])
 
     on = [*key, "block"]
     # blocks and lengths of a leaf number meet in the first merge
-    lists = asked.groupBy(*on).cogroup(spread.groupBy(*on)).applyInPandas(
+    return asked.groupBy(*on).cogroup(spread.groupBy(*on)).applyInPandas(
         run, f"query_id long, part int, best {_ITEM.format(kind='double')}")
-    best = top_lists(lists, "query_id", "part", "best", k, leaves)
-    return _ranked(best, "score")
