@@ -115,6 +115,9 @@ def test_clustered_vectors_are_found_and_repeats_count_once(spark):
 def test_near_keeps_the_best_of_each_query():
     rng = np.random.default_rng(1)
     a, b = vectors._unit(rng.normal(size=(300, 8))), vectors._unit(rng.normal(size=(500, 8)))
-    for x, near in zip(a, vectors._near(a, b, 5)):
-        assert set(np.argsort(-(b @ x))[:6]) <= set(near.tolist()) and len(near) < 10
-    assert [n.tolist() for n in vectors._near(a[:2], b[:3], 5)] == [[0, 1, 2]] * 2
+    query, row = vectors._near(a, b, 5)
+    for i, x in enumerate(a):
+        near = set(row[query == i].tolist())
+        assert set(np.argsort(-(b @ x))[:6].tolist()) <= near and len(near) < 10
+    assert [x.tolist() for x in vectors._near(a[:2], b[:3], 5)] == [[0, 0, 0, 1, 1, 1], [0, 1, 2] * 2]
+    assert [len(x) for x in vectors._best_pairs(a[:1], np.array([9]), b[:1], np.array([9]), 5)] == [0, 0, 0]  # its own row alone

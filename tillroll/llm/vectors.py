@@ -285,26 +285,42 @@ def _unit(m: np.ndarray) -> np.ndarray:
 
 
 def cosines(m: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosine of each row with ``x``, every row summed the same way, so equal
-    vectors get equal scores."""
-    return (m * x).sum(axis=1) / (np.sqrt((m * m).sum(axis=1)) * np.sqrt((x * x).sum()))
+    """Cosine of each row of ``m`` with ``x``, or with the row of ``x`` beside it;
+    every row is summed the same way, so equal vectors get equal scores."""
+    return (m * x).sum(axis=1) / (np.sqrt((m * m).sum(axis=1)) * np.sqrt((x * x).sum(axis=-1)))
 
 
 #: more than two ways of summing a cosine can differ by
 _ROUNDING = 1e-9
 
 
-def _near(asked: np.ndarray, rows: np.ndarray, k: int) -> Iterator[np.ndarray]:
-    """For each asked unit vector the places of the unit ``rows`` whose cosine may
-    be among its k + 1 largest: by matrix products, with room for rounding."""
+def _near(asked: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) places of the unit vectors ``asked`` and ``rows`` whose cosine
+    may be among the query's k + 1 largest: by matrix products, with room for
+    rounding."""
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for at in range(0, len(asked), 256):
         scores = asked[at:at + 256] @ rows.T
-        if scores.shape[1] <= k + 1:
-            yield from [np.arange(scores.shape[1])] * len(scores)
-            continue
-        least = np.partition(scores, scores.shape[1] - k - 1, axis=1)[:, scores.shape[1] - k - 1]
-        for row, low in zip(scores, least):
-            yield np.flatnonzero(row >= low - _ROUNDING)
+        n = scores.shape[1]
+        low = np.partition(scores, n - k - 1, axis=1)[:, n - k - 1, None] - _ROUNDING if n > k + 1 else -np.inf
+        query, row = np.nonzero(scores >= low)
+        found.append((query + at, row))
+    query, row = zip(*found)
+    return np.concatenate(query), np.concatenate(row)
+
+
+def _best_pairs(asked: np.ndarray, asked_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
+    """Places in ``asked``, row ids and cosines of each query's k nearest rows
+    other than its own, by query and nearness (ties: smaller id)."""
+    query, row = _near(_unit(asked), _unit(rows), k)
+    other = ids[row] != asked_ids[query]
+    query, row = query[other], row[other]
+    score = np.concatenate([np.empty(0)] + [
+        cosines(rows[row[at:at + 65_536]], asked[query[at:at + 65_536]]) for at in range(0, len(row), 65_536)])
+    order = np.lexsort((ids[row], -score, query))
+    query, row, score = query[order], row[order], score[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    return query[place < k], ids[row[place < k]], score[place < k]
 
 
 def _leaf_lists(rows: DataFrame, query_rows: DataFrame, placed: DataFrame, visits: DataFrame, k: int, block_rows: int) -> DataFrame:
@@ -322,18 +338,25 @@ def _leaf_lists(rows: DataFrame, query_rows: DataFrame, placed: DataFrame, visit
         .join(query_rows.select(F.col("vec_id").alias("query_id"), "dim", F.col("vec").alias("asked")), ["query_id", "dim"])
     )
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            ids, m, q = right["vec_id"].to_numpy(), _matrix(right["vec"]), _matrix(left["asked"])
-            part = int(left["leaf"].iloc[0])
-            for query, x, near in zip(left["query_id"].tolist(), q, _near(_unit(q), _unit(m), k)):
-                down, found = _best(cosines(m[near], x), ids[near], query, k)
-                if found:
-                    out.append((query, part, [{"down": -s, "vec_id": v} for s, v in zip(down, found)]))
-        return pd.DataFrame(out, columns=["query_id", "part", "best"])
-
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["query_id", "part", "best"]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), lists)], names=names)
+        asked_ids = left["query_id"].to_numpy()
+        query, found, score = _best_pairs(_rows_of(left["asked"]), asked_ids, _rows_of(right["vec"]), right["vec_id"].to_numpy(), k)
+        some, first = np.unique(query, return_index=True)
+        items = pa.StructArray.from_arrays([pa.array(-score), pa.array(found)], fields=list(lists.value_type))
+        best = pa.ListArray.from_arrays(pa.array(np.append(first, len(query)), pa.int32()), items)
+        return pa.table([pa.array(asked_ids[some]), pa.array([left["leaf"][0].as_py()] * len(some), pa.int32()), best.cast(lists)], names=names)
+
+    lists = pa.list_(pa.struct([("down", pa.float64()), ("vec_id", pa.int64())]))
     on = [*key, "block"]
     # blocks and lengths of a leaf number meet in the first merge
-    return asked.groupBy(*on).cogroup(spread.groupBy(*on)).applyInPandas(
+    return asked.groupBy(*on).cogroup(spread.groupBy(*on)).applyInArrow(
         run, f"query_id long, part int, best {_ITEM.format(kind='double')}")
+
+
+def _rows_of(column: pa.ChunkedArray) -> np.ndarray:
+    """The matrix of a column of vectors of one length."""
+    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks])
+    return flat.reshape(len(column), -1)
