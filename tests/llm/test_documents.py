@@ -3,6 +3,7 @@ brute-force versions and held-out rows."""
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 import zlib
@@ -194,6 +195,66 @@ def test_skip_edges_spread_a_label():
     assert near[1].argmax() == 3 and near[1, 3] > 0.9 and abs(near[2] - 0.2).max() < 1e-9
 
 
+def random_field(rng, facts):
+    states = pii.CLEAR + 1
+    return pii.Field({f: i for i, f in enumerate(facts)}, rng.normal(size=(len(facts), states)), rng.normal(size=(states, states)),
+                     np.eye(states) * 1.5)
+
+
+def enumerated(model, graph):
+    """Posteriors by summing over all labellings."""
+    score = model.scores(graph)
+    n, states = score.shape
+    total = np.zeros((n, states))
+    for labels in itertools.product(range(states), repeat=n):
+        if any(g != pii.CLEAR and g != own for g, own in zip(graph.label, labels)):
+            continue
+        known = [g != pii.CLEAR for g in graph.label]
+        weight = sum(score[i, own] for i, own in enumerate(labels) if not known[i])
+        weight += sum(model.chain[labels[a], labels[b]] for a, b in graph.chain) + sum(model.skip[labels[a], labels[b]] for a, b in graph.skip)
+        for i, own in enumerate(labels):
+            total[i, own] += np.exp(weight)
+    return total / total.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("text,spans,exact", [
+    ("11 22 33 44", [], True),                      # a chain
+    ("77 and far 88 99 and far 77", [], True),      # a chain and a skip edge, no loop
+    ("77 and far 88 99 and far 77", [(3, 0, 2)], True),
+    ("77 88 77 99", [], False),                     # a loop
+])
+def test_posteriors_equal_enumeration(text, spans, exact):
+    graph = pii.Graph()
+    graph.add(0, text, spans)
+    assert graph.chain or graph.skip
+    for seed in range(5):
+        rng = np.random.default_rng(seed)
+        model = random_field(rng, sorted({f for facts in graph.facts for f in facts})[:12])
+        assert np.abs(model.posteriors(graph) - enumerated(model, graph)).max() < (1e-3 if exact else 0.15)
+
+
+def test_posteriors_do_not_depend_on_the_batch():
+    batch = ["11 22 33 44 11", "nothing", "5557713999 far from 5557713999 and 7713999 12 13 14 15 16 17", "1", "7 8 7 9 8 7 8 9"]
+    graph = pii.Graph()
+    for i, text in enumerate(batch):
+        graph.add(i, text, [])
+    model = random_field(np.random.default_rng(2), sorted({f for facts in graph.facts for f in facts}))
+    whole = model.posteriors(graph)
+    for i, text in enumerate(batch):
+        alone = pii.Graph()
+        alone.add(0, text, [])
+        if alone.doc:
+            assert (model.posteriors(alone) == whole[np.array(graph.doc) == i]).all()
+
+
+def test_one_long_table_does_not_fill_the_sample(spark):
+    table_of_numbers = " | ".join(str(10_000 + i) for i in range(4000))
+    rows = [(0, table_of_numbers)] + [(i, f"write to user{i}@mail{i % 7}.example.com or call +1 (201) 555-{1000 + i}") for i in range(1, 900)]
+    for doc_id in (0, 17, 4242):  # wherever the long text stands in hash order
+        docs = spark.createDataFrame([(doc_id + 10_000 if i == 0 else i, t) for i, t in rows], "doc_id long, text string")
+        assert pii.train(docs, sample_nodes=2000, rounds=20).facts
+
+
 def test_personal_data_edges(spark):
     docs = odd_documents(spark)
     model = pii.train(docs)

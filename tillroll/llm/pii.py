@@ -8,9 +8,9 @@ clear. Its labels are the kinds and ``clear``. Potentials: each node's shape and
 neighbouring words; a chain between neighbouring nodes; and skip edges between a
 node and the last one before it with the same signs, or the same last digits,
 wherever it stands in the document. Weights come from a pseudo-likelihood fit to
-base spans in a bounded sample (``sample_nodes`` nodes, those of the smallest id
-hashes). Loopy sum-product messages over all nodes of a batch make repeated
-tokens agree; a node outside base spans whose posterior of a kind reaches
+base spans in a bounded sample (``sample_nodes`` nodes, those of the smallest
+hashes of id and place, so that no text fills it before its share). Loopy
+sum-product messages over all nodes of a text make repeated tokens agree; a node outside base spans whose posterior of a kind reaches
 ``least`` becomes a span of it, neighbours of one kind together.
 
 Edge cases: null and empty texts have no spans; offsets are code points, ends
@@ -170,7 +170,8 @@ class Field:
         return out
 
     def posteriors(self, graph: Graph, rounds: int = 30) -> np.ndarray:
-        """Loopy sum-product: both directions of every edge at once, damped."""
+        """Loopy sum-product: both directions of every edge at once, damped. Each
+        text stops by itself, so its posteriors are the same in any batch."""
         score = self.scores(graph)
         known = np.array(graph.label) != CLEAR  # base spans are given
         score[known] = -30.0
@@ -182,13 +183,18 @@ class Field:
             pots = np.concatenate([pots, pots.transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(edges), 2 * len(edges)), np.arange(len(edges))])
             message = np.zeros((2 * len(edges), CLEAR + 1))
+            of = np.unique(np.array(graph.doc), return_inverse=True)[1][source]
+            live = np.arange(len(message))  # edges of texts that still move
             for _ in range(rounds):
                 belief = score.copy()
-                np.add.at(belief, target, message)
-                new = _logsum((belief[source] - message[back])[:, :, None] + pots, 1)
-                new = 0.5 * message + 0.5 * (new - _logsum(new, 1)[:, None])
-                moved, message = np.abs(new - message).max(), new
-                if moved < 1e-4:
+                np.add.at(belief, target[live], message[live])
+                new = _logsum((belief[source[live]] - message[back[live]])[:, :, None] + pots[live], 1)
+                new = 0.5 * message[live] + 0.5 * (new - _logsum(new, 1)[:, None])
+                moved = np.zeros(of.max() + 1)
+                np.maximum.at(moved, of[live], np.abs(new - message[live]).max(axis=1))
+                message[live] = new
+                live = live[moved[of[live]] >= 1e-4]
+                if not len(live):
                     break
             np.add.at(score, target, message)
         return np.exp(score - _logsum(score, 1)[:, None])
@@ -223,7 +229,7 @@ def train(docs: DataFrame, sample_nodes: int = 6000, rounds: int = 300, l2: floa
 
     nodes = texts(docs).mapInArrow(run, "doc_id long, start int, label int, facts array<long>, near array<int>")
     # stored first: the executors merge their smallest, the driver gets the sample alone
-    rows = materialize(nodes.orderBy(F.xxhash64("doc_id"), "doc_id", "start", "label").limit(sample_nodes), "nodes").collect()
+    rows = materialize(nodes.orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start", "label").limit(sample_nodes), "nodes").collect()
     y = np.array([r["label"] for r in rows], np.int64)
     if not (y != CLEAR).any():
         return Field(least=least)
