@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from helpers import SF_SMALL, clean_of, line
 from tillroll.operators import features as FE
 from tillroll.operators import silver as S
+from tillroll.plans import refresh as RF
 from tillroll.plans.registry import clean_df
 from tillroll.sources.tables import raw_invoice_lines
 
@@ -51,3 +52,25 @@ def test_distinct_products_do_not_multiply_the_aggregate(spark):
     plan = plan_of(FE.customer_line_features(S.valid_sales(clean_of(spark, [line()]), known_customer=True)))
     keyed = [ln for ln in plan.split("\n") if "HashAggregate(keys=[CustomerID" in ln and "StockCode" in ln.split("functions=")[0]]
     assert keyed and all("avg(" not in ln and "stddev" not in ln for ln in keyed)
+
+
+def lines_by_month(n):
+    return [line(inv=f"{i}", code=f"S{i % 5}", date=f"{1 + i % 3}/{1 + i % 27}/2011 8:0{i % 10}", price=0.5 + i % 7, cust=None if i % 8 == 0 else str(i % 11))
+            for i in range(n)]
+
+
+def test_a_months_lines_and_parts_take_one_shuffle(spark):
+    clean = clean_of(spark, lines_by_month(60))
+    for df, key in ((RF.latest_by_month(clean), "record_hash"), (RF.customer_parts(clean), "CustomerID"), (RF.product_parts(clean), "StockCode")):
+        plan = plan_of(df)
+        above = plan[:plan.index("Exchange hashpartitioning(year")]  # no shuffle by key or month above the one by both
+        assert "Exchange" not in above and key in above
+    lean = next(ln for ln in plan_of(RF.customer_parts(clean)).split("\n") if "Exchange hashpartitioning(year" in ln)
+    assert "repartition" in lean.lower()
+
+
+def test_merged_products_take_one_shuffle(spark):
+    parts = RF.product_parts(clean_of(spark, lines_by_month(60))).drop(*RF.MONTH)
+    path = f"{spark.sparkContext.getCheckpointDir()}/parts-of-{id(parts)}"
+    parts.write.parquet(path)
+    assert plan_of(RF.merge_products(spark.read.parquet(path))).count("Exchange") == 1
