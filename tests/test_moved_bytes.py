@@ -6,11 +6,13 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from helpers import SF_SMALL, clean_of, line
+from helpers import INGESTED, SF_SMALL, clean_of, line, raw_df
+from tillroll.operators import bronze as B
 from tillroll.operators import features as FE
 from tillroll.operators import silver as S
 from tillroll.plans import refresh as RF
 from tillroll.plans.registry import clean_df
+from tillroll.session import materialize
 from tillroll.sources.tables import raw_invoice_lines
 
 
@@ -74,3 +76,23 @@ def test_merged_products_take_one_shuffle(spark):
     path = f"{spark.sparkContext.getCheckpointDir()}/parts-of-{id(parts)}"
     parts.write.parquet(path)
     assert plan_of(RF.merge_products(spark.read.parquet(path))).count("Exchange") == 1
+
+
+def test_stored_lines_are_those_of_the_plain_cleaning(spark):
+    rows = [*lines_by_month(200), *lines_by_month(40)] + [line(inv="9", qty=q, desc=d) for q, d in ((5, "a"), (3, "b"), (3, "a"))]
+    rows += [line(inv=None, code=None, desc=None, cust=None), line(inv=None, code=None), line(date="bad")]
+    bronze = B.add_lineage(raw_df(spark, rows), ingested_at=INGESTED, source_file="t")
+    want = sorted(map(str, S.clean_transactions(bronze).collect()))
+    for few in (S.FEW_REPEATED, 0):
+        stored = S.stored_clean(bronze, few)
+        assert sorted(map(str, stored.collect())) == want
+        assert "Exchange hashpartitioning" not in plan_of(stored)  # nothing is de-duplicated when it is read
+    assert len(want) < len(rows) - 40
+
+
+def test_transaction_features_shuffle_lines_once(spark):
+    clean = clean_of(spark, lines_by_month(60))
+    stored = materialize(clean, "test_lines")
+    plan = plan_of(FE.transaction_features(stored))
+    wide = [ln for ln in plan.split("\n") if "Exchange hashpartitioning(_tr_key" in ln]
+    assert len(wide) == 1 and "SortMergeJoin" not in plan
