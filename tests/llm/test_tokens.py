@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -39,6 +40,27 @@ def test_piece_encoder_equals_library(tok):
     assert [g.tolist() for g in got] == [library_ids(tok, t) for t in texts]
 
 
+def test_known_pieces_are_numbers_alone(tok):
+    enc = bpe.PieceEncoder()
+    words = [f" {a}{b}q{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in map(chr, range(0x4E00, 0x4E00 + 600))]
+    tracemalloc.start()
+    try:
+        got = sum(map(len, enc.encode(["".join(words)])))
+        held = tracemalloc.get_traced_memory()[0] / len(words)
+    finally:
+        tracemalloc.stop()
+    assert got > len(words) and held < 110  # about 200 with their texts in a dictionary
+
+
+def test_pieces_learned_again_and_odd_ones(tok, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 50)
+    monkeypatch.setattr(bpe, "LINES", 7)
+    enc = bpe.PieceEncoder()
+    texts = random_texts(30, seed=5) + ["   ", "\n\n\t", "a\x1cb \x1d", "\x85x\u2028y", "a\u0120b \u010a", "\ud800 x"[1:], "é" * 300]
+    for part in (texts, texts[::-1], ["\n", " "], [texts[0]]):
+        assert [g.tolist() for g in enc.encode(part)] == [library_ids(tok, t) for t in part]
+
+
 def test_chunk_joins_are_exact(tok):
     texts = random_texts(40) + ["x" * 9000, "  " * 5000, "ab " * 4000, "日本 語 text " * 900]
     enc = chunks.ChunkEncoder(bpe.PieceEncoder())

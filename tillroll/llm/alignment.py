@@ -157,7 +157,7 @@ class PlainEncoder(PieceEncoder):
         self.special = []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > HELD_PIECES:
+        if len(self.keys) > HELD_PIECES:
             self._reset()
         return super().encode(texts)
 

@@ -4,7 +4,8 @@ The tokenizers library merges inside the pieces its pre-tokenizer cuts and
 never across them, so a text's ids are its pieces' ids in a row.
 ``PieceEncoder`` finds the piece borders of a whole batch of texts with array
 operations, hands every piece it has not seen to the library once, and lays the
-known ids out again. Letter, digit and space classes are asked of the library's
+known ids out again. A piece is known by a random 64-bit key, not by its text, so
+that a worker holds numbers alone. Letter, digit and space classes are asked of the library's
 own pre-tokenizer, not of a second Unicode table.
 
 Texts that the fast path does not cover (code points above U+FFFF, text of a
@@ -13,7 +14,7 @@ special token) are encoded by the library as they are.
 
 from __future__ import annotations
 
-from itertools import repeat
+import codecs
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,8 @@ import pandas as pd
 SPACE, LETTER, DIGIT, OTHER = 0, 1, 2, 3
 # pieces kept per worker; a full table is emptied (bounds memory, not results)
 CACHE_PIECES = 700_000
+# pieces the library gets as one text
+LINES = 500
 # code points handled at a time: about 60 bytes of arrays for each
 BATCH_CHARS = 500_000
 
@@ -132,42 +135,52 @@ class PieceEncoder:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         from tokenizers import Tokenizer, pre_tokenizers
 
-        # a byte's letter in the model's alphabet; the model alone, cut at line breaks
+        # a byte's letter in the model's alphabet; the model alone, cut at line breaks;
+        # how many bytes each of its ids stands for
         self.letters = _byte_letters()
+        self.alphabet = "".join(self.letters[b] for b in range(256))
         self.by_line = Tokenizer(self.tok.model)
-        self.by_line.pre_tokenizer = pre_tokenizers.Split(self.letters[10], "isolated")
+        self.by_line.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(self.letters[10])
+        words = self.by_line.get_vocab()
+        self.id_bytes = np.zeros(max(words.values()) + 1, np.int64)
+        self.id_bytes[list(words.values())] = list(map(len, words))
         self.mix, self.weights = _random_words(0x10000, 1), _random_words(256, 2) | np.uint64(1)
-        self.line_id = self.tok.encode("\n", add_special_tokens=False).ids[0]
-        self.known: dict[str, int] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.known.clear()
+        # keys of known pieces, ascending, and each one's place in start and size
+        self.keys = np.empty(0, np.uint64)
+        self.number = np.empty(0, np.int32)
         self.start = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces. All but blank ones go to the library's model in one
-        call, a piece on each line, with their bytes already in the model's
-        alphabet; a line break is a token that no such piece holds."""
-        blanks = [p for p in pieces if p.isspace()]
-        words = [p for p in pieces if not p.isspace()]
-        text = ("\n".join(words) + "\n").encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        flat = np.array(self.by_line.encode(text, add_special_tokens=False).ids, np.uint32)
-        line = flat == self.line_id
-        ends = np.flatnonzero(line)
-        if len(ends) == len(words):
-            self._keep(words, flat[~line], np.diff(ends, prepend=-1) - 1)
-        else:
-            blanks = pieces
+    def _learn(self, pieces: list[str], keys: np.ndarray) -> None:
+        """Ids of new pieces with their keys. All but blank ones go to the library's
+        model, a piece on each line, with their bytes already in the model's alphabet;
+        the ids' bytes tell where each piece ends."""
+        blank = np.fromiter(map(str.isspace, pieces), bool, len(pieces))
+        blanks = [pieces[i] for i in np.flatnonzero(blank).tolist()]
+        words = [p for p in pieces if not p.isspace()] if blanks else pieces
+        raw = "".join([f"{w}\n" for w in words]).encode("utf-8", "surrogatepass")
+        breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+        cut = [0, *(breaks[LINES - 1:-1:LINES] + 1).tolist(), len(raw)]
+        got = self.by_line.encode_batch_fast(
+            [codecs.charmap_decode(raw[a:b], "strict", self.alphabet)[0] for a, b in zip(cut, cut[1:])], add_special_tokens=False)
+        flat = np.concatenate([np.array(x.ids, np.uint32) for x in got])
+        id_ends, word_ends = np.cumsum(self.id_bytes[flat]), breaks - np.arange(len(breaks))
+        last = np.searchsorted(id_ends, word_ends)
+        if len(breaks) == len(words) and np.array_equal(id_ends[last[last < len(flat)]], word_ends):
+            self._keep(keys[~blank], flat, np.diff(last, prepend=-1))
+        else:  # a line break inside a piece, or bytes that the model leaves out
+            blanks, blank = pieces, np.ones(len(pieces), bool)
         if blanks:
             got = [x.ids for x in self.tok.encode_batch(blanks, add_special_tokens=False)]
-            self._keep(blanks, np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got]))
+            self._keep(keys[blank], np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got]))
 
-    def _keep(self, pieces: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        n, m = len(self.known), len(pieces)
+    def _keep(self, keys: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        n, m = len(self.keys), len(keys)
         while n + m > len(self.size):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
@@ -177,7 +190,17 @@ class PieceEncoder:
         self.start[n:n + m] = self.used + np.cumsum(sizes) - sizes
         self.ids[self.used:self.used + len(flat)] = flat
         self.used += len(flat)
-        self.known.update(zip(pieces, range(n, n + m)))
+        order = np.argsort(keys)
+        place = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, place, keys[order])
+        self.number = np.insert(self.number, place, (n + order).astype(np.int32))
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the pieces with these keys, -1 where one is not known."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.number[at], np.int32(-1))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
@@ -210,8 +233,8 @@ class PieceEncoder:
 
     def _mixed(self, at: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
         """A random 64-bit value for each code point at its place in a piece;
-        their sum tells the pieces of a batch apart (two of a million different
-        ones meet with odds of 1 in 10 million)."""
+        their sum, the piece's key, tells pieces apart: of a batch's and the known ones,
+        a million together, two different ones meet with odds of 1 in 10 million."""
         longest = int(size.max())
         if longest > len(self.weights):
             self.weights = _random_words(2 * longest, 2) | np.uint64(1)
@@ -230,20 +253,19 @@ class PieceEncoder:
         starts = piece_starts(cps, self.table[at], doc_start)
         size = np.diff(np.append(starts, len(cps)))
         key = np.add.reduceat(self._mixed(at, starts, size), starts)
-        code, _ = pd.factorize(key)
+        code, key = pd.factorize(key)
         first = np.empty(code.max() + 1, np.int64)
         first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
         ends = starts + size
-        pieces = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        number = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        number = self._find(key)
         new = np.flatnonzero(number < 0)
         if len(new):
-            if len(self.known) > CACHE_PIECES:
+            if len(self.keys) > CACHE_PIECES:
                 self._reset()
-                new = np.arange(len(pieces))
-            fresh = [pieces[i] for i in new.tolist()]
-            self._learn(fresh)
-            number[new] = np.fromiter(map(self.known.__getitem__, fresh), np.int64, len(fresh))
+                new = np.arange(len(key))
+            at = first[new]
+            self._learn([text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], key[new])
+            number[new] = self._find(key[new])
         number = number[code]
         n_ids = self.size[number]
         ends = np.cumsum(n_ids)
