@@ -50,6 +50,39 @@ def test_a_customers_lines_are_stored_together(spark):
     assert shown(got) == shown(want)
 
 
+def odd_lines():
+    rows = [*lines_by_month(150), *lines_by_month(30)] + [line(inv="9", qty=q, desc=d) for q, d in ((5, "a"), (3, "b"), (3, "a"), (-1, None))]
+    rows += [line(inv=i, cust="7", qty=q) for i in (None, "", "C1", "c1", "C") for q in (1, 2)]
+    return rows + [line(inv=None, code=None, desc=None, cust="8"), line(inv=None, code=None), line(date="bad")]
+
+
+def test_lean_lines_are_the_clean_ones(spark):
+    bronze = B.add_lineage(raw_df(spark, odd_lines()), ingested_at=INGESTED, source_file="t")
+    same = [c for c in S.SILVER_COLUMNS if c not in ("record_hash", "InvoiceNo")]
+    lines = lambda df: sorted(map(str, df.select(*same, F.col("InvoiceNo").isNull()).collect()))
+    clean, lean = S.clean_transactions(bronze), S.lean_clean(bronze)
+    assert lines(lean) == lines(clean)
+    assert {r.InvoiceNo for r in lean.collect()} == {None, "", "C"}
+    other = bronze.withColumn("record_hash", F.concat(F.lit("k"), F.col("InvoiceNo"), F.lit("é" * 40), F.col("StockCode")))  # no hex
+    assert lines(S.lean_clean(other)) == lines(S.clean_transactions(other))
+
+
+def test_customer_lines_shuffle_no_flags_or_calendar(spark):
+    lean = S.lean_clean(B.add_lineage(raw_df(spark, odd_lines()), ingested_at=INGESTED, source_file="t"))
+    assert lean.select(F.max(F.octet_length("record_hash"))).first()[0] == 17
+    stored = FE.customer_lines(lean)
+    got = {r[0] for r in stored.select(F.struct("is_return", "is_cancellation")).distinct().collect()}
+    assert got == {(False, False)} and stored.where("hour <> hour(invoice_datetime) OR is_weekend <> (dayofweek(invoice_datetime) IN (1, 7))").count() == 0
+    files = spark.read.parquet(*{r[0].rsplit("/", 1)[0] for r in stored.select(F.input_file_name()).distinct().collect()})
+    assert not {"hour", "is_weekend", "is_return", "is_cancellation", "record_hash"} & set(files.columns)
+
+
+def test_raw_lines_carry_the_order_key_once(spark):
+    lines = plan_of(raw_invoice_lines(spark, SF_SMALL)).split("\n")
+    at = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(l_partkey" in ln)
+    assert "Project [" in lines[at + 1] and "o_orderkey" not in lines[at + 1]
+
+
 def test_distinct_products_do_not_multiply_the_aggregate(spark):
     plan = plan_of(FE.customer_line_features(S.valid_sales(clean_of(spark, [line()]), known_customer=True)))
     keyed = [ln for ln in plan.split("\n") if "HashAggregate(keys=[CustomerID" in ln and "StockCode" in ln.split("functions=")[0]]
