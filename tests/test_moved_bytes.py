@@ -129,3 +129,38 @@ def test_transaction_features_shuffle_lines_once(spark):
     plan = plan_of(FE.transaction_features(stored))
     wide = [ln for ln in plan.split("\n") if "Exchange hashpartitioning(_tr_key" in ln]
     assert len(wide) == 1 and "SortMergeJoin" not in plan
+
+
+def test_the_lines_of_an_invoice_come_side_by_side(spark):
+    plan = plan_of(raw_invoice_lines(spark, SF_SMALL))
+    assert 0 < plan.index("Exchange hashpartitioning(l_orderkey") < plan.index("Exchange hashpartitioning(l_partkey")
+
+
+def stored_files(spark, df):
+    return spark.read.parquet(*{f.rsplit("/", 1)[0] for f in df.inputFiles() if "repeated" not in f})
+
+
+def test_hashes_that_the_columns_give_again_are_not_stored(spark):
+    rows = [*lines_by_month(200), *lines_by_month(40), line(inv=None, code=" a1 "), line(code=None), line(inv=None, code=None)]
+    bronze = B.add_lineage(raw_df(spark, rows), ingested_at=INGESTED, source_file="t")
+    other = bronze.withColumn("record_hash", F.concat(F.lit("k"), F.col("record_hash")))
+    for lines, least in ((bronze, 0), (other, 1)):
+        want = sorted(map(str, S.clean_transactions(lines).collect()))
+        for few in (S.FEW_REPEATED, 0):
+            stored = S.stored_clean(lines, few, raw_code=True)
+            assert sorted(map(str, stored.drop(S.RAW_CODE).collect())) == want
+            kept = stored_files(spark, stored)
+            assert kept.where(F.octet_length("record_hash") > 0).count() == least * kept.count()
+
+
+def test_transaction_features_shuffle_no_hash_of_their_own(spark):
+    rows = [*lines_by_month(150), *lines_by_month(30), line(inv=None, code=" a1 "), line(code=None, cust=None)]
+    bronze = B.add_lineage(raw_df(spark, rows), ingested_at=INGESTED, source_file="t")
+    other = bronze.withColumn("record_hash", F.when(F.col("CustomerID") == "3", F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("record_hash"))))
+    shown = lambda df: sorted(map(str, df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]).collect()))
+    for lines in (bronze, other):
+        lean = FE.transaction_features(S.stored_clean(lines, raw_code=True))
+        assert lean.columns == FE.TRANSACTION_FEATURE_COLUMNS
+        assert shown(lean) == shown(FE.transaction_features(materialize(S.clean_transactions(lines), "whole")))
+    wide = next(ln for ln in plan_of(lean).split("Exchange hashpartitioning(_tr_key")[1].split("\n") if "Project" in ln)
+    assert "sha2" in wide and "StockCode" not in wide.split(" AS record_hash")[-1]
